@@ -171,12 +171,13 @@ class MergeReplay:
 class TextCodec:
     """Texts to ids and back, remembering the pieces between spaces that came often.
 
-    ``encode_words`` maps distinct words (text) to ids, as little-endian unsigned 32-bit integers. Where single spaces part a text,
-    the pattern always cuts before them, so that pieces ' word' are encoded apart.
+    ``encode_spaced`` gives the ids (little-endian unsigned 32-bit integers) of distinct pieces, each with a space put
+    before it, ``encode_plain`` those of texts. Where single spaces part a text, the pattern always cuts before them,
+    so that pieces ' word' are encoded apart.
     """
 
-    def __init__(self, pattern: str, encode_words):
-        self.pattern, self.encode_words = regex.compile(pattern), encode_words
+    def __init__(self, encode_spaced, encode_plain):
+        self.encode_spaced, self.encode_plain = encode_spaced, encode_plain
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -196,12 +197,7 @@ class TextCodec:
         if older:
             known.update((piece, older[piece]) for piece in missing.intersection(older))
             missing.difference_update(known)
-        spaced = {piece: self.pattern.findall(" " + piece) for piece in missing}
-        plain = {piece: self.pattern.findall(piece) for piece in firsts}
-        words = {w for found in (spaced, plain) for ws in found.values() for w in ws}
-        coded = self.encode_words(words)
-        new = {piece: b"".join(map(coded.__getitem__, ws)) for piece, ws in spaced.items()}
-        first = {piece: b"".join(map(coded.__getitem__, ws)) for piece, ws in plain.items()}
+        new, first = self.encode_spaced(list(missing)), self.encode_plain(list(firsts))
         known.update(new)
         out = [first[pieces[0]] + b"".join(map(known.__getitem__, pieces[1:])) for pieces in cut]
         for piece in new:
@@ -218,12 +214,15 @@ def rank_codec(path: str, pattern: str) -> tuple[TextCodec, MergeReplay]:
     if (path, pattern) not in _CODECS:
         replay = MergeReplay(read_ranks(path))
 
-        def words(distinct: set[str]) -> dict[str, bytes]:
-            raw = {w: w.encode() for w in distinct}
+        split = regex.compile(pattern).findall
+
+        def encode(cut: dict[str, list[str]]) -> dict[str, bytes]:
+            raw = {w: w.encode() for words in cut.values() for w in words}
             coded = replay.encode(raw.values())
-            return {w: coded[b] for w, b in raw.items()}
+            ids = {w: coded[b] for w, b in raw.items()}
+            return {piece: b"".join(map(ids.__getitem__, words)) for piece, words in cut.items()}
 
-        _CODECS[path, pattern] = TextCodec(pattern, words), replay
+        _CODECS[path, pattern] = TextCodec(lambda pieces: encode({p: split(" " + p) for p in pieces}), lambda pieces: encode({p: split(p) for p in pieces})), replay
     return _CODECS[path, pattern]
 
 

@@ -22,24 +22,37 @@ from pyspark.sql import functions as F
 from regionloom.llm.bpe import TextCodec
 from regionloom.llm.common import blocks, checkpointed, doc_view, shuffle_partitions
 
-_CODECS: dict[tuple[str, str], TextCodec] = {}
+_CODECS: dict[str, TextCodec] = {}
+#: Pieces of text that are joined for one call of the tokenizer.
+JOINED = 2000
 
 
-def tokenizer_codec(path: str, pattern: str) -> TextCodec:
-    """The worker's codec around a tokenizer file of the tokenizers library, which splits by ``pattern``."""
-    if (path, pattern) not in _CODECS:
+def tokenizer_codec(path: str) -> TextCodec:
+    """The worker's codec around a tokenizer file of the tokenizers library that splits before single spaces, as byte-level ones do."""
+    if path not in _CODECS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
 
-        def words(distinct: set[str]) -> dict[str, bytes]:
-            order = list(distinct)
-            return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(order, tokenizer.encode_batch_fast(order, add_special_tokens=False), strict=True)}
+        def spaced(pieces: list[str]) -> dict[str, bytes]:
+            out = {}
+            for at in range(0, len(pieces), JOINED):
+                some = pieces[at : at + JOINED]
+                coded = tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
+                ids = np.array(coded.ids, "<u4")
+                starts = np.fromiter((a for a, _ in coded.offsets), np.int64, len(ids))
+                ends = (4 * np.searchsorted(starts, np.cumsum([len(p) + 1 for p in some]))).tolist()
+                raw = ids.tobytes()
+                out.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+            return out
 
-        _CODECS[path, pattern] = TextCodec(pattern, words)
-    return _CODECS[path, pattern]
+        def plain(texts: list[str]) -> dict[str, bytes]:
+            return {t: np.array(e.ids, "<u4").tobytes() for t, e in zip(texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True)}
+
+        _CODECS[path] = TextCodec(spaced, plain)
+    return _CODECS[path]
 
 
 def cut_pieces(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -50,12 +63,12 @@ def cut_pieces(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, head)] * bool(head) + [(at, capacity) for at in range(head, n, capacity)]
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces of every document's ids with the end id after them: doc_id, piece, start, length, ids_crc32."""
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, tail = tokenizer_codec(tokenizer_path, pattern), end_id.to_bytes(4, "little")
+        codec, tail = tokenizer_codec(tokenizer_path), end_id.to_bytes(4, "little")
         for batch in blocks(batches):
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), codec.ids(batch.column(1).to_pylist()), strict=True):
@@ -208,11 +221,11 @@ def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
     return found.select(*pieces.columns, (F.col("_sequence") + F.floor(at / F.col("_each"))).cast("long").alias("sequence_id"), (F.col("_offset") + (at % F.col("_each")) * F.col("length")).cast("long").alias("offset"))
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int = 2, capacity: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document tokenised, ended with ``end_id``, cut only when longer than ``capacity``, and packed.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset. Null texts count as empty (the end id
     alone); repeated rows are packed each; null doc_ids are kept. Long documents give a first piece of the
     remainder and full pieces after it. ``tokenizer_path`` must be readable on every executor.
     """
-    return pack_pieces(checkpointed(token_pieces(docs, tokenizer_path, pattern, end_id, capacity, id_col, text_col)), capacity)
+    return pack_pieces(checkpointed(token_pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col)), capacity)

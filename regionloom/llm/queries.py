@@ -20,7 +20,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
