@@ -93,8 +93,8 @@ def _with_part(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """gram, context, doc_id, part, start, place, more. Contexts that came earlier within a block have more < 0 and a made-up gram."""
-    names = ["gram", "context", "doc_id", "part", "start", "place", "more"]
+    """part, doc_id, at, gram, context; at holds start, place, more and whether the context came earlier within the block, which then has a made-up gram."""
+    names = ["part", "doc_id", "at", "gram", "context"]
     for batch in blocks(batches, limit=SEGMENT):
         raw, offsets = bytes_of(batch.column(2))
         doc_ids, parts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -108,8 +108,8 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             again = np.zeros(len(order), bool)
             again[order[1:]] = (gram[order[1:]] == gram[order[:-1]]) & (context[order[1:]] == context[order[:-1]])
             gram = np.where(again, _name(context, (begin + doc).astype(np.uint64)), gram)
-            more = np.where(again, -1 - more, more)
-            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), pa.array(doc_id), pa.array(part.astype(np.int32)), pa.array(begin), pa.array(place.astype(np.int16)), pa.array(more.astype(np.int16))], names)
+            at_bits = (begin << 15) | (place << 8) | (again.astype(np.int64) << 7) | more
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(doc_id), pa.array(at_bits), pa.array(gram.view(np.int64)), pa.array(context.view(np.int64))], names)
             if len(offsets) != 2:
                 break
 
@@ -193,17 +193,18 @@ def _kept(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
 
 def covered_spans(keyed: DataFrame) -> DataFrame:
     """doc_id, part and spans (start, end) covered by strings of LENGTH bytes that start earlier; from doc_id, part, text."""
-    rows = keyed.mapInArrow(_anchor_rows, "gram long, context long, doc_id long, part int, start long, place short, more short")
+    rows = keyed.mapInArrow(_anchor_rows, "part int, doc_id long, at long, gram long, context long")
     sorted_rows = rows.repartition("gram").selectExpr(
         "*",
-        "row_number() OVER (PARTITION BY gram, context ORDER BY doc_id, part, start) AS nth",
+        "row_number() OVER (PARTITION BY gram, context ORDER BY doc_id, part, at) AS nth",
         "min(context) OVER (PARTITION BY gram) <> max(context) OVER (PARTITION BY gram) AS mixed",
     )
-    flagged = checkpointed(sorted_rows.where("more < 0 OR nth > 1 OR mixed").selectExpr("gram", "doc_id", "part", "start", "place", "IF(more < 0, -1 - more, more) AS more", "more < 0 OR nth > 1 AS covered"))
-    asked = flagged.where("NOT covered").groupBy("doc_id", "part").agg(F.collect_list(F.struct("gram", "start", "place", "more")).alias("asked"))
+    flagged = checkpointed(sorted_rows.where("at & 128 <> 0 OR nth > 1 OR mixed").selectExpr("part", "doc_id", "IF(nth > 1, at | 128, at) AS at", "gram"))
+    parted = flagged.selectExpr("part", "doc_id", "gram", "shiftright(at, 15) AS start", "CAST(shiftright(at, 8) & 127 AS SMALLINT) AS place", "CAST(at & 127 AS SMALLINT) AS more", "at & 128 <> 0 AS covered")
+    asked = parted.where("NOT covered").groupBy("doc_id", "part").agg(F.collect_list(F.struct("gram", "start", "place", "more")).alias("asked"))
     contexts = keyed.join(asked, ["doc_id", "part"]).select("doc_id", "part", "text", "asked")
     refined = contexts.mapInArrow(_contexts, "gram long, doc_id long, part int, start long, place short, bytes binary").repartition("gram").sortWithinPartitions("gram").mapInArrow(_refined, "doc_id long, part int, start long, end long")
-    whole = flagged.where("covered").selectExpr("doc_id", "part", "start", f"start + more + {LENGTH} AS end")
+    whole = parted.where("covered").selectExpr("doc_id", "part", "start", f"start + more + {LENGTH} AS end")
     return whole.unionByName(refined).groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
@@ -216,7 +217,8 @@ def _spanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row of ``docs``; see ``remove_repeats``."""
-    rows = _spanned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text").selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "_text", "_spans")
+    # the same three columns as in the search for spans, so that texts are shuffled once
+    rows = _spanned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text").selectExpr(f"nullif(_doc, {LAST_ID}) AS doc_id", "_text", "_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "_text"):
