@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from regionloom.llm.common import checkpointed
 
-DEGREE, TABLES, RUN_ROWS, ROUNDS = 32, 4, 1024, 3
-BEAM, EXPAND, HOPS = 64, 12, 3
+DEGREE, TABLES, RUN_ROWS, ROUNDS = 32, 4, 1024, 4
+BEAM, EXPAND, HOPS = 96, 16, 5
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -118,7 +118,7 @@ def descend(graph: DataFrame, packed: DataFrame, dims: int) -> DataFrame:
                 return None
             sim = x @ x.T
             np.fill_diagonal(sim, -2)
-            k = min(8, len(v) - 1)
+            k = min(12, len(v) - 1)
             best = _top(sim, k)
             s = np.take_along_axis(sim, best, 1)
             ok = s > worst[:, None]
