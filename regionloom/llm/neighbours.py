@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from regionloom.llm.common import checkpointed
 
-DEGREE, TABLES, RUN_ROWS, ROUNDS = 32, 4, 1024, 4
+DEGREE, TABLES, RUN_ROWS, PER_RUN, ROUNDS = 32, 12, 2048, 20, 2
 BEAM, EXPAND, HOPS = 96, 16, 5
 
 
@@ -54,7 +54,7 @@ def packed_nodes(nodes: DataFrame, most: float, dims: int) -> DataFrame:
 
 
 def first_graph(packed: DataFrame, dims: int, count: int, seed: int = 11) -> DataFrame:
-    """Edges u, v, s from TABLES sortings; within runs of RUN_ROWS every vector is compared with all others."""
+    """Edges u, v, s from TABLES sortings; within runs of RUN_ROWS every vector is compared with all others, and its PER_RUN best are kept."""
     bits = max(1, min(24, int(np.log2(max(2, count / RUN_ROWS))) + 3))
     planes = np.random.default_rng(seed).standard_normal((TABLES, bits + 1, dims)).astype(np.float32)
 
@@ -74,7 +74,7 @@ def first_graph(packed: DataFrame, dims: int, count: int, seed: int = 11) -> Dat
                 return
             sim = x @ x.T
             np.fill_diagonal(sim, -2)
-            k = min(DEGREE, len(u) - 1)
+            k = min(PER_RUN, len(u) - 1)
             best = _top(sim, k)
             yield _edges(np.repeat(u, k), u[best].ravel(), np.take_along_axis(sim, best, 1).ravel())
 
