@@ -45,3 +45,41 @@ def test_quirks(spark):
     rows = spark.createDataFrame([(1, 1, 0, 0, 10, 10, 900), (1, 2, 10, 0, 10, 10, 800), (1, 3, 0, 0, 10, 5, 700)], "page_id long, pos long, x long, y long, w long, h long, conf_milli long")
     assert [r.pos for r in folds.suppress(rows, ["page_id"]).collect()] == [1, 2]
     assert [r.pos for r in folds.suppress(rows, ["page_id"], 5, strict=True).collect()] == [1, 2, 3]
+
+
+def test_overlaps_resolved(spark):
+    """The less confident of a pair goes and stops comparing; ties keep the earlier; exempt boxes stand aside."""
+    from pyspark.sql import functions as F
+    from regionloom.operators import selection
+
+    schema = "page_id long, pos long, x long, y long, w long, h long, conf_milli long, category string"
+    rows = [(1, 1, 0, 0, 10, 10, 500, "A"), (1, 2, 0, 0, 10, 9, 900, "A"), (1, 3, 0, 0, 10, 8, 900, "A"), (1, 4, 0, 0, 10, 10, 100, "N"), (2, 1, 0, 0, 10, 10, 1, "A"), (2, 2, 50, 0, 10, 10, 1, "A")]
+    kept = selection.resolve_overlaps(spark.createDataFrame(rows, schema), ["page_id"], F.col("category") == "N")
+    assert sorted(map(tuple, kept.collect())) == [(1, 2), (1, 4), (2, 1), (2, 2)]
+
+
+def test_coco_and_flattening(spark, tmp_path):
+    """Annotations of unknown categories and with malformed boxes are dropped; nested columns get joined names."""
+    import json
+
+    from regionloom.sources import formats
+
+    (tmp_path / "a.json").write_text(json.dumps({"images": [{"id": 1, "file_name": "p.png"}], "categories": [{"id": 1, "name": "dr"}, {"id": 2, "name": "x"}], "annotations": [{"id": 1, "image_id": 1, "category_id": 1, "bbox": [1, 2, 3, 4]}, {"id": 2, "image_id": 1, "category_id": 2, "bbox": [1, 2, 3, 4]}, {"id": 3, "image_id": 1, "category_id": 1, "bbox": [1]}]}))
+    got = formats.read_coco(spark, str(tmp_path / "a.json"), spark.createDataFrame([("dr", "door")], "name string, category string"))
+    assert [tuple(r) for r in got.collect()] == [("p.png", "door", 1.0, 2.0, 3.0, 4.0)]
+    assert formats.flattened(spark.sql("SELECT struct(1 AS a, struct(2 AS c) AS b) AS s, 3 AS t")).columns == ["s.a", "s.b.c", "t"]
+
+
+def test_metrics_stream(spark, tmp_path):
+    """The stream of run metrics ends at the batch's rows."""
+    import shutil
+
+    from regionloom.streaming import metrics
+
+    (tmp_path / "in").mkdir()
+    shutil.copy(f"{DATA}/events.parquet", tmp_path / "in" / "events.parquet")
+    batch = spark.read.parquet(f"{DATA}/events.parquet")
+    stream = metrics.hourly(metrics.read_stream(spark, str(tmp_path / "in"), batch.schema))
+    running = stream.writeStream.outputMode("complete").format("memory").queryName("hourly").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
+    running.awaitTermination(60)
+    assert sorted(map(tuple, spark.table("hourly").collect())) == sorted(map(tuple, metrics.hourly(batch).collect()))
