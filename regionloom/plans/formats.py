@@ -19,28 +19,28 @@ def parsed_label_lines(spark, d):
     return formats.parse_label_lines(lines, "line", WIDTH, HEIGHT).select("page_id", "pos", "class_id", *(F.round(c, 3).alias(c) for c in ("x1", "y1", "x2", "y2")))
 
 
-@query("SELECT page_id, count(*) AS n, sum(2 * (w * h) + h * shift) AS twice FROM pred GROUP BY page_id")
+@query("SELECT page_id, count(*) AS n, CAST(sum(2 * (w * h) + h * shift) AS BIGINT) AS twice FROM pred GROUP BY page_id")
 def polygon_areas(spark, d):
     """Twice the area of trapezia given as flat polygons."""
     flat = pred_boxes(spark, d).selectExpr("page_id", "array(x, y, x + w + shift, y, x + w, y + h, x, y + h) AS flat")
     return flat.withColumn("twice", formats.twice_area("flat")).groupBy("page_id").agg(F.count("*").alias("n"), F.sum("twice").alias("twice"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 3 END AS parts, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_partkey * 2 + p_size END AS total FROM part", pred=False)
+@query("SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE 3 END AS parts, CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE p_partkey * 2 + p_size END AS total FROM part", pred=False)
 def model_answers(spark, d):
-    """Arrays in answers of a model, with reasoning, fences and trailing commas; null where there is none."""
+    """Arrays in answers of a model, with reasoning, fences and trailing commas; 0 where there is none."""
     answer = "IF(p_partkey % 7 = 0, 'no rooms', concat('<think>[9]</think>```json\n[', p_partkey, ', ', p_size, ',\n', p_partkey, ', ]``` done'))"
     parsed = table(spark, d, "part").select("p_partkey", F.from_json(formats.json_array_text(F.expr(answer)), "array<bigint>").alias("a"))
-    return parsed.selectExpr("p_partkey", "IF(a IS NULL, NULL, size(a)) AS parts", "aggregate(a, 0L, (s, v) -> s + v) AS total")
+    return parsed.selectExpr("p_partkey", "IF(a IS NULL, 0, size(a)) AS parts", "coalesce(aggregate(a, 0L, (s, v) -> s + v), 0L) AS total")
 
 
-@query("SELECT event_id, last_value(CASE WHEN event_type = 'view' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS header FROM events", pred=False)
+@query("SELECT event_id, coalesce(last_value(CASE WHEN event_type = 'view' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING), -1) AS header FROM events", pred=False)
 def log_headers(spark, d):
     """The last header line of each log line."""
-    return formats.carried_header(table(spark, d, "events").select("event_id", "user_id", "event_type"), ["user_id"], "event_id", F.expr("IF(event_type = 'view', event_id, NULL)")).select("event_id", "header")
+    return formats.carried_header(table(spark, d, "events").select("event_id", "user_id", "event_type"), ["user_id"], "event_id", F.expr("IF(event_type = 'view', event_id, NULL)")).select("event_id", F.coalesce("header", F.lit(-1)).alias("header"))
 
 
-@query("SELECT event_type, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k FROM events GROUP BY event_type", pred=False)
+@query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k FROM events GROUP BY event_type", pred=False)
 def json_fields(spark, d):
     """A number in JSON text, added up."""
     return table(spark, d, "events").select("event_type", F.get_json_object("props", "$.k").cast("long").alias("k")).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("k").alias("k"))

@@ -80,11 +80,11 @@ def overlapping_pairs(spark, d):
 def _metric(name, value, duck):
     def run(spark, d):
         pairs = joins.overlapping_pairs(pred_boxes(spark, d).select("page_id", "pos", "x", "y", "w", "h"), ["page_id"])
-        return pairs.select("page_id", "l_pos", "r_pos", F.round(value(B.box("l_"), B.box("r_")), 6).alias(name))
+        return pairs.select("page_id", "l_pos", "r_pos", F.round(value(B.box("l_"), B.box("r_")), 9).alias(name))
 
     run.__name__ = f"pair_{name}"
     run.__doc__ = f"{name} of overlapping pairs."
-    query(f"SELECT page_id, l_pos, r_pos, round({duck}, 6) AS {name} FROM (SELECT a.page_id, a.pos AS l_pos, b.pos AS r_pos, ({_I})::DOUBLE AS i, (a.w * a.h)::DOUBLE AS aa, (b.w * b.h)::DOUBLE AS ba, (greatest(a.x + a.w, b.x + b.w) - least(a.x, b.x))::DOUBLE AS hw, (greatest(a.y + a.h, b.y + b.h) - least(a.y, b.y))::DOUBLE AS hh, (a.x + a.w / 2 - b.x - b.w / 2)::DOUBLE AS dx, (a.y + a.h / 2 - b.y - b.h / 2)::DOUBLE AS dy FROM pred a JOIN pred b ON a.page_id = b.page_id AND a.pos < b.pos) WHERE i > 0")(run)
+    query(f"SELECT page_id, l_pos, r_pos, round({duck}, 9) AS {name} FROM (SELECT a.page_id, a.pos AS l_pos, b.pos AS r_pos, ({_I})::DOUBLE AS i, (a.w * a.h)::DOUBLE AS aa, (b.w * b.h)::DOUBLE AS ba, (greatest(a.x + a.w, b.x + b.w) - least(a.x, b.x))::DOUBLE AS hw, (greatest(a.y + a.h, b.y + b.h) - least(a.y, b.y))::DOUBLE AS hh, (a.x + a.w / 2 - b.x - b.w / 2)::DOUBLE AS dx, (a.y + a.h / 2 - b.y - b.h / 2)::DOUBLE AS dy FROM pred a JOIN pred b ON a.page_id = b.page_id AND a.pos < b.pos) WHERE i > 0")(run)
 
 
 _metric("iou", B.iou, "i / (aa + ba - i)")
