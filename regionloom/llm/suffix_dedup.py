@@ -23,8 +23,8 @@ from regionloom.llm.common import blocks, bytes_of, checkpointed
 LENGTH, GRAM = 100, 32
 #: Starts of q-grams within a string of LENGTH bytes.
 STARTS = LENGTH - GRAM + 1
-#: Bytes for which anchors are sought at once.
-SEGMENT = 2 << 20
+#: Bytes whose anchors are compared with each other before the shuffle, and bytes hashed at once (numpy takes some 100 times these).
+SEGMENT, HASHED = 2 << 20, 256 << 10
 LAST_ID = 2**63 - 1
 
 _BYTE_IDS = np.random.default_rng(7).integers(0, 2**64, 256, np.uint64)
@@ -49,8 +49,18 @@ def _doubled(ids: np.ndarray, k: int) -> np.ndarray:
 def anchors(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Anchors of the documents that end at ``ends`` in ``raw``: gram, context, document, start, place, more.
 
-    An anchor stands for the strings that start at start, ..., start + more; it lies ``place`` after start.
+    An anchor stands for the strings that start at start, ..., start + more; it lies ``place`` after start. Bytes are
+    hashed HASHED at a time, which may cut an anchor's strings into those of two.
     """
+    found = []
+    for at in range(0, max(1, len(raw)), HASHED):
+        piece = raw[at : at + HASHED + LENGTH - 1]
+        gram, context, doc, start, place, more = _anchors_in(piece, np.minimum(ends - at, len(piece)))
+        found.append((gram, context, doc, start + at, place, more))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def _anchors_in(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     none = tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64))
     if len(raw) < LENGTH:
         return none
