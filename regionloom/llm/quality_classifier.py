@@ -19,6 +19,8 @@ from regionloom.llm.text_stats import STAT_NAMES, document_stats
 
 #: Labelled rows that the trees are grown on, at most (about: rows are taken by a hash).
 SAMPLE_ROWS = 20_000
+#: Text bytes of which statistics are taken at once; numpy takes some 20 times these.
+STAT_BYTES = 1 << 20
 TREES, DEPTH, BINS, RATE, LEAST_ROWS, RIDGE = 80, 4, 64, 0.15, 20, 1.0
 
 
@@ -92,7 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS, id_col: str
     """Trees grown on about ``most`` labelled rows. ``labels``: doc_id and quality (0 or 1); null labels and ids are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=STAT_BYTES):
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array([row.tobytes() for row in _stats(batch)], pa.binary())], ["label", "stats"])
 
     sample = labelled_sample(doc_view(docs, id_col, text_col), labels.select("doc_id", F.col("quality").alias("label")), most)
@@ -107,7 +109,7 @@ def score_documents(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_
     """doc_id, held_out, score (0 to 1) and predicted (1 from 0.5) of every row; null and empty texts are scored alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=STAT_BYTES):
             score = trees.score(_stats(batch))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
@@ -119,7 +121,7 @@ def accepted(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame
     """The rows of ``docs``, every column, whose texts score 0.5 or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, text_col):
+        for batch in blocks(batches, text_col, STAT_BYTES):
             at = batch.schema.get_field_index(text_col)
             texts = batch.column(at)
             texts = texts.fill_null("") if texts.null_count else texts
