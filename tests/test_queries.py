@@ -83,3 +83,18 @@ def test_metrics_stream(spark, tmp_path):
     running = stream.writeStream.outputMode("complete").format("memory").queryName("hourly").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     running.awaitTermination(60)
     assert sorted(map(tuple, spark.table("hourly").collect())) == sorted(map(tuple, metrics.hourly(batch).collect()))
+
+
+def test_writers(spark, tmp_path):
+    """Label lines come back as the boxes; categories are ranked; splits get a folder each."""
+    from regionloom.sources import exports, formats
+
+    boxes = spark.createDataFrame([(1, 1, 10, 20, 30, 40, "b"), (1, 2, 0, 0, 100, 80, "a"), (2, 1, 5, 5, 10, 10, "b")], "page_id long, pos long, x long, y long, w long, h long, category string")
+    exports.write_label_files(boxes, str(tmp_path / "labels"), "page_id", "3", 1000, 800)
+    read = formats.parse_label_lines(spark.read.text(str(tmp_path / "labels")), "value", 1000, 800)
+    assert sorted((r.page_id, round(r.x1), round(r.y1), round(r.x2), round(r.y2)) for r in read.collect()) == [(1, 0, 0, 100, 80), (1, 10, 20, 40, 60), (2, 5, 5, 15, 15)]
+    exports.write_coco(boxes.selectExpr("page_id AS id").distinct(), boxes.selectExpr("page_id * 10 + pos AS id", "page_id AS image_id", "category", "array(x, y, w, h) AS bbox").withColumnRenamed("id", "annotation_id"), str(tmp_path / "coco"))
+    assert sorted((r.id, r.name) for r in spark.read.json(str(tmp_path / "coco" / "categories")).collect()) == [(1, "a"), (2, "b")]
+    assert spark.read.json(str(tmp_path / "coco" / "annotations")).count() == 3
+    exports.write_by_split(boxes.selectExpr("page_id", "IF(page_id = 1, 'train', 'test') AS split"), str(tmp_path / "splits"))
+    assert {r.split: r["count"] for r in spark.read.json(str(tmp_path / "splits")).groupBy("split").count().collect()} == {"train": 2, "test": 1}
