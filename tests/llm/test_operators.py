@@ -275,6 +275,25 @@ def test_op7(spark, odd, empty):
     assert suffix_dedup.remove_repeats(odd).columns == odd.columns
 
 
+def test_op7_across_parts(spark):
+    """Repeats that lie across the ends of the parts hashed at once are found as elsewhere."""
+    rng = np.random.default_rng(3)
+    letters = lambda n: bytes(rng.integers(97, 123, n, np.uint8)).decode()
+    part, passage = suffix_dedup.HASHED, letters(400)
+    texts = [letters(part - 150) + passage + letters(part - 300) + passage[:260] + letters(500), letters(90) + passage[50:] + letters(part - 500) + passage + letters(20)]
+    seen, want = set(), {}
+    for k, text in enumerate(t.encode() for t in texts):
+        gone = np.zeros(len(text), bool)
+        for i in range(len(text) - 99):
+            if text[i : i + 100] in seen:
+                gone[i : i + 100] = True
+            seen.add(text[i : i + 100])
+        want[k] = int(gone.sum()), hashlib.sha256(np.frombuffer(text, np.uint8)[~gone].tobytes()).hexdigest()
+    assert all(n for n, _ in want.values())
+    got = suffix_dedup.repeat_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in got} == want
+
+
 def test_op8(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
