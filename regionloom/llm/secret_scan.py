@@ -16,7 +16,8 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 WEAK_ACCESS = r"(?<![A-Za-z0-9])(?:ABIA|ACCA|AIDA|AROA|ASIA)[A-Z0-9]{12,}"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
+#: May follow "=", as in KEY=value, but not end before it: that is padding.
+WEAK_SECRET = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
 #: What a bare 40-character secret must have besides.
 MIXED = "m RLIKE '[0-9]' AND m RLIKE '[A-Z]' AND m RLIKE '[a-z]'"
 ENDPOINT = r"""https?://[^\s"'<>]+"""

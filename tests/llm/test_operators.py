@@ -251,6 +251,14 @@ def test_op6(spark, odd, empty, texts):
     assert secret_scan.secret_report(odd).count() == odd.count() and secret_scan.redact(empty).count() == 0
 
 
+def test_op6_without_spaces(spark):
+    """A pair of id and secret in KEY=value form."""
+    text = "aws_access_key_id=ASIA1234567890ABCDEF\naws_secret_access_key=" + "aB3/+" * 8
+    docs = spark.createDataFrame([(1, text), (2, text + "=")], "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in secret_scan.secret_report(docs).collect()} == {1: "weak_access:18:38,weak_secret:61:101", 2: ""}
+    assert secret_scan.redact(docs).where("doc_id = 1").first().text == "aws_access_key_id=[secret]\naws_secret_access_key=[secret]"
+
+
 def test_op7(spark, odd, empty):
     r = random.Random(5)
     base = ["".join(r.choice("abcdefgh é") for _ in range(r.randint(0, 400))) for _ in range(20)]
