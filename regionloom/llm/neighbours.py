@@ -1,13 +1,17 @@
 """Approximate nearest neighbours: a graph by NN-descent, searched greedily.
 
 Vectors that are the same are one node. The graph starts from exact neighbours within short runs of
-vectors sorted by random sign codes; each NN-descent round joins a node's neighbours (forward and
-reverse) among each other. A query walks from its own node's neighbours, in joined rounds for
-all queries. All groups are bounded by the degree or by the length of a run.
+vectors sorted by random sign codes of their directions; each NN-descent round joins a node's neighbours
+(forward and reverse) among each other, pairs met before left out, until few edges are replaced. A query
+walks from its own node's neighbours, in joined rounds for all queries, until its beam holds no node that
+it hasn't walked from. Beams are doubled until a sample of the queries, compared with all nodes, finds
+enough of its true neighbours, so recall doesn't hang on the size of the table. All groups are bounded by
+the degree, the length of a run or the beam.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +21,13 @@ from pyspark.sql import functions as F
 
 from regionloom.llm.common import checkpointed
 
-DEGREE, TABLES, RUN_ROWS, PER_RUN, ROUNDS = 32, 12, 2048, 20, 2
-BEAM, EXPAND, HOPS = 96, 16, 5
+DEGREE, TABLES, RUN_ROWS, PER_RUN = 32, 12, 2048, 20
+#: NN-descent ends with the round that replaces at most this share of the edges.
+SETTLED = 0.01
+#: The first width of a beam, how many times that it holds for wider ones, and how many nodes a query walks from in a round.
+BEAM, HELD, EXPAND = 128, 4, 32
+#: Queries whose neighbours are looked for among all nodes, and the share of these that a beam must hold.
+SAMPLE, ENOUGH = 256, 0.92
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -29,8 +38,12 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return v.where(F.size("v") == (sizes[0]["d"] if sizes else 0))
 
 
-def _matrix(column: pa.Array, dims: int, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, dims)
+def _matrix(column: pa.Array, dims: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, dims)
+
+
+def _directions(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), np.finfo(np.float32).tiny)
 
 
 def _edges(u, v, s) -> pa.RecordBatch:
@@ -42,12 +55,15 @@ def _top(sim: np.ndarray, k: int) -> np.ndarray:
 
 
 def packed_nodes(nodes: DataFrame, most: float, dims: int) -> DataFrame:
-    """u and x: the vector as float16, scaled and lengthened by one component so that all are of length one (largest inner product is then nearest)."""
+    """u and x: the vector as float32, divided by the largest length.
+
+    The graph's similarity of v to u is the inner product of u's direction with v, which ranks u's neighbours
+    as the inner product does, whatever the other lengths in the table.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims) / most
-            x = np.hstack([x, np.sqrt(np.maximum(0, 1 - (x**2).sum(axis=1, keepdims=True)))]).astype(np.float16)
+            x = (batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims) / most).astype(np.float32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["u", "x"])
 
     return nodes.select("u", "v").mapInArrow(run, "u long, x binary")
@@ -60,7 +76,7 @@ def first_graph(packed: DataFrame, dims: int, count: int, seed: int = 11) -> Dat
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1), dims, np.float16).astype(np.float32)
+            x = _directions(_matrix(batch.column(1), dims))
             for t in range(TABLES):
                 y = x @ planes[t].T
                 code = (y[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))
@@ -72,7 +88,7 @@ def first_graph(packed: DataFrame, dims: int, count: int, seed: int = 11) -> Dat
             x = np.concatenate([r[1] for r in rows])
             if len(u) < 2:
                 return
-            sim = x @ x.T
+            sim = _directions(x) @ x.T
             np.fill_diagonal(sim, -2)
             k = min(PER_RUN, len(u) - 1)
             best = _top(sim, k)
@@ -80,7 +96,7 @@ def first_graph(packed: DataFrame, dims: int, count: int, seed: int = 11) -> Dat
 
         held, n = [], 0
         for batch in batches:
-            u, x = batch.column(2).to_numpy(), _matrix(batch.column(3), dims, np.float16).astype(np.float32)
+            u, x = batch.column(2).to_numpy(), _matrix(batch.column(3), dims)
             for at in range(0, len(u), RUN_ROWS):
                 held.append((u[at : at + RUN_ROWS], x[at : at + RUN_ROWS]))
                 n += len(held[-1][0])
@@ -96,27 +112,29 @@ def first_graph(packed: DataFrame, dims: int, count: int, seed: int = 11) -> Dat
 
 
 def best_edges(edges: DataFrame, degree: int = DEGREE) -> DataFrame:
-    """The ``degree`` best distinct neighbours of each node."""
-    return edges.where("u <> v").groupBy("u", "v").agg(F.max("s").alias("s")).selectExpr("*", "row_number() OVER (PARTITION BY u ORDER BY s DESC, v) AS n").where(f"n <= {degree}").drop("n")
+    """The ``degree`` best distinct neighbours of each node; an edge is fresh if none of its kind isn't."""
+    best = edges.where("u <> v").groupBy("u", "v").agg(F.max("s").alias("s"), F.bool_and("fresh").alias("fresh"))
+    return best.selectExpr("*", "row_number() OVER (PARTITION BY u ORDER BY s DESC, v) AS n").where(f"n <= {degree}").drop("n")
 
 
 def both_ways(graph: DataFrame, degree: int = DEGREE) -> DataFrame:
-    """u, v: neighbours, and the ``degree`` best of those whose neighbour u is; always within bounds."""
-    reverse = graph.selectExpr("v AS u", "u AS v", "s", "row_number() OVER (PARTITION BY v ORDER BY s DESC, u) AS n").where(f"n <= {degree}")
-    return graph.select("u", "v").unionByName(reverse.select("u", "v")).distinct()
+    """u, v, fresh: neighbours, and the ``degree`` best of those whose neighbour u is; always within bounds."""
+    reverse = graph.selectExpr("v AS u", "u AS v", "fresh", "row_number() OVER (PARTITION BY v ORDER BY s DESC, u) AS n").where(f"n <= {degree}")
+    return graph.select("u", "v", "fresh").unionByName(reverse.select("u", "v", "fresh")).groupBy("u", "v").agg(F.bool_or("fresh").alias("fresh"))
 
 
 def descend(graph: DataFrame, packed: DataFrame, dims: int) -> DataFrame:
-    """One NN-descent round: the neighbours of each node are joined among each other; better edges replace worse."""
+    """One NN-descent round: the neighbours of each node are joined among each other, but for pairs without a fresh edge; better edges replace worse and are fresh."""
     worst = graph.groupBy("u").agg(F.min("s").alias("worst"), F.count("*").alias("n")).selectExpr("u AS v", f"IF(n < {DEGREE}, -2, worst) AS worst")
     far = packed.withColumnRenamed("u", "v").join(worst, "v", "left")
-    around = both_ways(graph).join(far, "v").selectExpr("u", "v", "coalesce(worst, -2) AS worst", "x")
+    around = both_ways(graph).join(far, "v").selectExpr("u", "v", "coalesce(worst, -2) AS worst", "fresh", "x")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def joined(v, worst, x):
-            if len(v) < 2:
+        def joined(v, worst, fresh, x):
+            if len(v) < 2 or not fresh.any():
                 return None
-            sim = x @ x.T
+            sim = _directions(x) @ x.T
+            sim[np.ix_(~fresh, ~fresh)] = -2
             np.fill_diagonal(sim, -2)
             k = min(12, len(v) - 1)
             best = _top(sim, k)
@@ -126,7 +144,8 @@ def descend(graph: DataFrame, packed: DataFrame, dims: int) -> DataFrame:
 
         key, held = None, []
         for batch in batches:
-            u, v, worst, x = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), _matrix(batch.column(3), dims, np.float16).astype(np.float32)
+            u, v, worst = (batch.column(k).to_numpy() for k in range(3))
+            fresh, x = batch.column(3).to_numpy(zero_copy_only=False), _matrix(batch.column(4), dims)
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(u)) + 1, [len(u)]])
             found = []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -134,14 +153,44 @@ def descend(graph: DataFrame, packed: DataFrame, dims: int) -> DataFrame:
                     if held:
                         found.append(joined(*(np.concatenate(p) for p in zip(*held, strict=True))))
                     key, held = u[a], []
-                held.append((v[a:b], worst[a:b], x[a:b]))
+                held.append((v[a:b], worst[a:b], fresh[a:b], x[a:b]))
             if found := [f for f in found if f is not None]:
                 yield _edges(*(np.concatenate(p) for p in zip(*found, strict=True)))
         if held and (last := joined(*(np.concatenate(p) for p in zip(*held, strict=True)))):
             yield _edges(*last)
 
     new = around.repartition("u").sortWithinPartitions("u").mapInArrow(local, "u long, v long, s float")
-    return best_edges(graph.unionByName(new))
+    return best_edges(graph.withColumn("fresh", F.lit(False)).unionByName(new.withColumn("fresh", F.lit(True))))
+
+
+def settled_graph(packed: DataFrame, dims: int, count: int) -> DataFrame:
+    """The first graph after as many NN-descent rounds as it takes until one replaces at most SETTLED of the edges."""
+    graph = checkpointed(best_edges(first_graph(packed, dims, count).withColumn("fresh", F.lit(True))))
+    while True:
+        graph = checkpointed(descend(graph, packed, dims))
+        edges = graph.selectExpr("count(*) AS n", "count_if(fresh) AS fresh").first()
+        if edges["fresh"] <= SETTLED * edges["n"]:
+            return graph
+
+
+def least_scores(queries: DataFrame, nodes: DataFrame, top: int) -> list[tuple[int, float, int]]:
+    """Of SAMPLE queries (q, node, qv): q, the least score among its ``top`` best nodes other than its own, and how many these are."""
+    some = queries.orderBy(F.xxhash64("q", F.lit(3)), "q").limit(SAMPLE).collect()
+    if not some:
+        return []
+    own, sought = np.array([r["node"] for r in some]), np.array([r["qv"] for r in some])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.full((len(own), 0), -np.inf)
+        for batch in batches:
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, sought.shape[1])
+            sim = np.where(own[:, None] == batch.column(0).to_numpy(), -np.inf, sought @ x.T)
+            best = -np.sort(-np.hstack([best, sim]), axis=1)[:, :top]
+        at, _ = np.nonzero(best > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(best[best > -np.inf])], ["k", "score"])
+
+    best = nodes.select("u", "v").mapInArrow(run, "k long, score double").selectExpr("k", "score", "row_number() OVER (PARTITION BY k ORDER BY score DESC) AS n").where(f"n <= {top}")
+    return [(some[r["k"]]["q"], r["least"], r["n"]) for r in best.groupBy("k").agg(F.min("score").alias("least"), F.count("*").alias("n")).collect()]
 
 
 _DOT = "aggregate(zip_with({a}, {b}, (x, y) -> x * y), 0D, (t, p) -> t + p)"
@@ -165,28 +214,49 @@ def search(vectors: DataFrame, top: int = 20, every: int = 20, id_col: str = "ve
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     members = members.alias("m").join(nodes.selectExpr("u AS node", "v AS nv", "xxhash64(v) AS h").alias("k"), F.expr("xxhash64(m.v) = k.h AND m.v = k.nv")).selectExpr("node", "m.id AS member")
     members = checkpointed(members)
-    dims = shape["d"] + 1
     packed = checkpointed(packed_nodes(nodes, float(shape["m"]), shape["d"]))
-    graph = checkpointed(best_edges(first_graph(packed, dims, shape["n"])))
-    for _ in range(ROUNDS):
-        graph = checkpointed(descend(graph, packed, dims))
-    around = checkpointed(both_ways(graph))
+    around = checkpointed(both_ways(settled_graph(packed, shape["d"], shape["n"])))
     queries = checkpointed(distinct.where(f"id % {every} = 0").alias("q").join(nodes.selectExpr("u AS node", "v AS nv", "xxhash64(v) AS h").alias("k"), F.expr("q.h = k.h AND q.v = k.nv")).selectExpr("q.id AS q", "node", "q.v AS qv"))
 
     def scored(pairs: DataFrame) -> DataFrame:
         met = pairs.join(queries.select("q", "qv"), "q").join(nodes.withColumnRenamed("u", "c"), "c")
         return met.select("q", "c", F.expr(_DOT.format(a="qv", b="v")).alias("score"))
 
-    def cut(beam: DataFrame) -> DataFrame:
-        return beam.selectExpr("q", "c", "score", "open", "row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS place").where(f"place <= {BEAM}")
+    def cut(beam: DataFrame, held: int) -> DataFrame:
+        return beam.selectExpr("q", "c", "score", "open", "row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS place").where(f"place <= {held}")
+
+    def walked(beam: DataFrame, width: int, held: int) -> DataFrame:
+        # what is cut from a beam is worse than all it ever holds again, so no node is walked from twice
+        while beam.where(f"open AND place <= {width}").limit(1).count():
+            chosen = beam.where(f"open AND place <= {width}").selectExpr("q", "c", "row_number() OVER (PARTITION BY q ORDER BY place) AS n").where(f"n <= {EXPAND}").select("q", "c")
+            new = chosen.join(around.selectExpr("u AS c", "v AS w"), "c").selectExpr("q", "w AS c").distinct().join(beam.select("q", "c"), ["q", "c"], "left_anti")
+            kept = beam.join(chosen.withColumn("walked", F.lit(True)), ["q", "c"], "left").selectExpr("q", "c", "score", "open AND walked IS NULL AS open")
+            beam = checkpointed(cut(kept.unionByName(scored(new).withColumn("open", F.lit(True))), held))
+        return beam
+
+    least = least_scores(queries, nodes, top)
+    wanted = spark.createDataFrame(least, "q long, least double, n long")
+
+    def recall(beam: DataFrame) -> float:
+        hits = beam.join(queries.select("q", "node"), "q").where("c <> node").join(F.broadcast(wanted), "q").where("score >= least - 1e-12 * abs(least)")
+        found = hits.groupBy("q").agg(F.least(F.count("*"), F.max("n")).alias("n")).agg(F.sum("n").alias("n")).first()["n"] or 0
+        return found / max(1, sum(n for _, _, n in least))
 
     seeds = queries.select("q", "node").join(around.selectExpr("u AS node", "v AS c"), "node").select("q", "c").unionByName(queries.selectExpr("q", "node AS c")).distinct()
-    beam = checkpointed(cut(scored(seeds).join(queries.selectExpr("q", "node AS c", "FALSE AS own"), ["q", "c"], "left").selectExpr("q", "c", "score", "coalesce(own, TRUE) AS open")))
-    for _ in range(HOPS):
-        chosen = beam.where("open").selectExpr("q", "c", "row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS n").where(f"n <= {EXPAND}").select("q", "c")
-        new = chosen.join(around.selectExpr("u AS c", "v AS w"), "c").selectExpr("q", "w AS c").distinct().join(beam.select("q", "c"), ["q", "c"], "left_anti")
-        kept = beam.join(chosen.withColumn("walked", F.lit(True)), ["q", "c"], "left").selectExpr("q", "c", "score", "open AND walked IS NULL AS open")
-        beam = checkpointed(cut(kept.unionByName(scored(new).withColumn("open", F.lit(True)))))
+    width = max(BEAM, 2 * top)
+    held = HELD * width
+    beam = checkpointed(cut(scored(seeds).join(queries.selectExpr("q", "node AS c", "FALSE AS own"), ["q", "c"], "left").selectExpr("q", "c", "score", "coalesce(own, TRUE) AS open"), held))
+    beam = walked(beam, width, held)
+    while least and (share := recall(beam)) < ENOUGH:
+        if not beam.where(f"place > {width}").limit(1).count():
+            warnings.warn(f"only {share:.2f} of the neighbours of sampled queries can be reached", stacklevel=2)
+            break
+        width *= 2
+        if width > held:
+            # nodes walked from may lead to nodes that there was no room for
+            held *= HELD
+            beam = checkpointed(beam.withColumn("open", F.lit(True)))
+        beam = walked(beam, width, held)
     found = beam.where(f"place <= {top + 1}").join(members, beam["c"] == members["node"]).where("q <> member")
     ranked = found.selectExpr("q AS query_id", "member AS vec_id", "score", "CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, member) AS INT) AS rank")
     return ranked.where(f"rank <= {top}").select("query_id", "rank", "vec_id", "score")

@@ -220,6 +220,30 @@ def test_op4(spark):
     assert neighbours.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def _recall(spark, x, every):
+    """Share of the 20 largest inner products with every so manieth row that the search finds."""
+    docs = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    hits, y = 0, x.astype(float)
+    got = neighbours.search(docs, every=every).toPandas().groupby("query_id").vec_id
+    for q, found in got:
+        score = y @ y[q]
+        score[q] = -np.inf
+        hits += len(set(np.argpartition(-score, 20)[:20]) & set(found))
+    return hits / (20 * len(range(0, len(x), every)))
+
+
+def _directions(n, seed):
+    x = np.random.default_rng(seed).standard_normal((n, 64))
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+def test_op4_many_runs(spark, monkeypatch):
+    """Recall holds on a table of many times the length of a run."""
+    monkeypatch.setattr(neighbours, "RUN_ROWS", 64)
+    monkeypatch.setattr(neighbours, "TABLES", 2)
+    assert _recall(spark, _directions(12000, 21), 80) >= 0.9
+
+
 def test_op5(spark, odd, empty):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language_id.fit(docs)
