@@ -244,6 +244,13 @@ def test_op4_many_runs(spark, monkeypatch):
     assert _recall(spark, _directions(12000, 21), 80) >= 0.9
 
 
+def test_op4_one_long_vector(spark):
+    """Recall holds where one vector is much longer than the others."""
+    x = _directions(5000, 22)
+    x[7] *= 100_000
+    assert _recall(spark, x, 50) >= 0.9
+
+
 def test_op5(spark, odd, empty):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language_id.fit(docs)
