@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one numpy or Python pass over documents holds at a time.
@@ -19,14 +19,31 @@ def doc_view(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def packed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``row`` (every column of ``df``), ``doc`` (long) and ``txt`` (null read as empty): no name of the table can clash with one used inside."""
+    return df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("txt"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """The columns of ``row`` as they were, but for those replaced."""
+    return rows.select(*(replaced[c].alias(c) if c in replaced else F.col("row").getField(c).alias(c) for c in columns))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut, kept in the folder that executors share."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="regionloom-checkpoint-"))
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or local_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def local_folder(spark: SparkSession) -> str:
+    """A temporary folder for a session on one machine; on a cluster spark.checkpoint.dir must be set."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="regionloom-")
+
+
 def fold_of(id_col: Column | str, folds: int = 3) -> Column:
     """The fold of a row: crc32 of its id written as text, modulo ``folds``."""
     return F.crc32(F.coalesce(F.col(id_col) if isinstance(id_col, str) else id_col, F.lit(0)).cast("string").cast("binary")) % folds

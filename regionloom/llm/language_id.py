@@ -16,6 +16,8 @@ from regionloom.llm.text_stats import hashed_bytes, unit
 
 #: Rows of each language that centroids are fitted on, at most (about: rows are taken by a hash), and bytes of each.
 SAMPLE_ROWS, DIMS, CENTROIDS, ROUNDS = 1000, 4096, 4, 12
+#: Rows of all languages together, at most (about): 140 MB of counts.
+MOST_ROWS = 8000
 GRAMS = (1, 3)
 #: A row is marked rejected if its cosine is below this share of the learnt cosines of the language's own rows.
 REJECT_QUANTILE = 0.005
@@ -73,12 +75,17 @@ def fit_centroids(counts: np.ndarray, langs: list[str]) -> Centroids:
 
 
 def fit(docs: DataFrame, most: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Centroids:
-    """Centroids of about ``most`` rows of each language, from text and non-null lang of the learning folds."""
+    """Centroids of about ``most`` rows of each language (and MOST_ROWS of all), from text and non-null lang of the learning folds.
+
+    Rows are taken by a hash of their id: a repeated row counts as often as it comes. An empty table gives a model
+    that knows no language.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull()).where(fold_of("doc_id") != 1)
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
     if not sizes:
         return fit_centroids(np.zeros((0, 256 + DIMS), np.float32), [])
+    most = max(1, min(most, MOST_ROWS // len(sizes)))  # rows that meet on the driver, whatever the number of languages
     share = F.create_map(*(F.lit(v) for lang, n in sorted(sizes.items()) for v in (lang, int(1_000_000 * min(1, most / n)))))
     taken = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < share[F.col("lang")]).where(F.col("text").rlike(r"\p{L}"))
 

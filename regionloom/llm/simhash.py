@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regionloom.llm.common import blocks, checkpointed, doc_view
+from regionloom.llm.common import blocks, checkpointed, doc_view, packed_rows, unpacked
 
 BITS, RADIUS = 64, 2
 #: Bits of each of the four parts; two parts that agree make a bucket.
@@ -140,6 +140,14 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     keys = [f"struct({k} AS part, (shiftrightunsigned(fp, {PART_BITS * i}) & 65535) * 65536 + (shiftrightunsigned(fp, {PART_BITS * j}) & 65535) AS bits)" for k, (i, j) in enumerate(PAIRS_OF_PARTS)]
     dealt = distinct.selectExpr("fp", f"explode(array({', '.join(keys)})) AS k").selectExpr("k.part * 4294967296 + k.bits AS bucket", "fp")
 
+    # a bucket too large for one task is dealt on by parts of the bits that its fingerprints needn't share: two bits at most
+    # differ, so that one of three parts agrees
+    heavy = checkpointed(dealt.groupBy("bucket").count().where(f"count > {BUCKET_ROWS}").select("bucket"))
+    if heavy.limit(1).count():
+        other = "CASE bucket DIV 4294967296 " + " ".join(f"WHEN {k} THEN {' + '.join(f'(shiftrightunsigned(fp, {PART_BITS * part}) & 65535) * {65536**n}' for n, part in enumerate(set(range(4)) - set(pair)))}" for k, pair in enumerate(PAIRS_OF_PARTS)) + " END"
+        parts = ", ".join(f"xxhash64(bucket, {k}, shiftright({other}, {11 * k}) & 2047)" for k in range(3))
+        dealt = dealt.join(heavy, "bucket", "left_anti").unionByName(dealt.join(heavy, "bucket", "left_semi").selectExpr(f"explode(array({parts})) AS bucket", "fp"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, fps = None, []
 
@@ -207,7 +215,7 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """One row of ``docs``, every column, of each component: that of the smallest doc_id, of several with it the least text hash."""
     named = grouped(docs, id_col, text_col).where("doc_id <=> component_id")
     # groups of null ids alone share the name null: the fingerprint of a component's rows tells them apart
-    chosen = named.groupBy("component_id", F.expr("IF(component_id IS NULL, fp, NULL)").alias("null_group")).agg(F.min("text_hash").alias("_hash")).select(F.col("component_id").alias("_doc"), "_hash")
-    keyed = docs.withColumns({"_key": F.col(id_col).cast("long"), "_text_hash": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))})
-    kept = keyed.join(chosen, keyed["_key"].eqNullSafe(chosen["_doc"]) & (keyed["_text_hash"] == chosen["_hash"]), "left_semi")
-    return kept.withColumn("_nth", F.expr("row_number() OVER (PARTITION BY _key, _text_hash ORDER BY _text_hash)")).where("_nth = 1").select(*docs.columns)
+    chosen = named.groupBy("component_id", F.expr("IF(component_id IS NULL, fp, NULL)").alias("null_group")).agg(F.min("text_hash").alias("of_hash")).select(F.col("component_id").alias("of_doc"), "of_hash")
+    keyed = packed_rows(docs, id_col, text_col).withColumn("hash", F.xxhash64("txt"))
+    kept = keyed.join(chosen, F.expr("doc <=> of_doc AND hash = of_hash"), "left_semi")
+    return unpacked(kept.selectExpr("row", "row_number() OVER (PARTITION BY doc, hash ORDER BY hash) AS nth").where("nth = 1"), docs.columns)
