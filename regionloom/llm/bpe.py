@@ -3,16 +3,16 @@
 The words (matches of the vocabulary's split pattern) that a block of documents adds to
 what the worker has seen are encoded together: one inverted index goes from the rank of
 a mergeable token pair to its positions in all of those words, merges are replayed in
-rank order, and each touches only the two neighbours of the merged pair. Texts then
-become joins of known words. Nothing is shuffled.
+rank order, all positions of a rank at once, and each touches only the two neighbours of
+the merged pair. Texts then become joins of known words. Nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import base64
-import bisect
 import hashlib
 import heapq
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,10 +22,26 @@ from pyspark.sql import DataFrame
 
 from regionloom.llm.common import blocks, doc_view
 
-#: Longest piece of text that is remembered, in characters, and how many are.
-PIECE_CHARS, PIECES = 40, 400_000
-#: White space runs that touch a space: texts with these aren't cut at spaces.
-_RUNS = regex.compile(r" \s|\s |^ | $")
+#: Text bytes whose new words are replayed together.
+LEARNT_BYTES = 8 << 20
+#: Longest piece of text that is remembered, in characters, how many are, and characters of a text that are cut at once.
+PIECE_CHARS, PIECES, SEGMENT = 40, 400_000, 1 << 20
+#: A space between two characters that aren't white space: the split pattern always cuts before it.
+_SAFE = re.compile(r"(?<=\S) (?=\S)")
+_EDGES = re.compile(r" \s|\s ")
+_ASCII_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+
+
+def cut_at_spaces(text: str) -> list[str]:
+    """The text cut at single spaces between other characters; pieces but the first had one before them."""
+    pieces = text.split(" ")
+    if "" in pieces or (any(w in text and (" " + w in text or w + " " in text) for w in _ASCII_SPACES) if text.isascii() else _EDGES.search(text)):
+        return _SAFE.split(text)
+    return pieces
+
+
+#: Marks a free slot.
+_FREE = np.iinfo(np.int64).min
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,176 +51,187 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class MergeReplay:
-    """Encodes words by the ranks of a vocabulary; tie and order rules are those of greedy BPE.
-
-    Merges in different words never touch, so short words are replayed side by side: for each word the
-    index holds the rank of the pair at each position, a step applies the next merge in rank order of
-    every word at once, and only the pairs beside merged places are looked up again. Long words go
-    through one index from rank to positions, worked off in rank order.
-    """
-
-    #: Words of up to so many bytes are replayed side by side, in tables of these widths.
-    WIDTHS = (4, 8, 12, 16, 24, 32, 48)
+    """Encodes words by the ranks of a vocabulary; tie and order rules are those of greedy BPE."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.single = [ranks[bytes([b])] for b in range(256)]
-        self.base = max(self.tokens) + 1
-        self.none = self.base  # sorts after every rank
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.base = max(self.tokens) + 3
         pairs = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None:
-                    pairs[a * self.base + b] = rank
-        self.pairs = pairs
-        keys = np.fromiter(pairs, np.int64, len(pairs))
-        order = np.argsort(keys)
-        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
-        self.values = np.append(np.fromiter(pairs.values(), np.int32, len(pairs))[order], self.none).astype(np.int32)
-        self.lut = np.array(self.single, np.int32)
+                    pairs[a * self.base + b + 2] = rank
+        # open addressing, a third full: the slot of a pair's key, and the ranks beside the keys
+        self.bits = max(4, (3 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, _FREE, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        keys, ranks_of = np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs))
+        slot = self._slot(keys)
+        while len(keys):
+            free, chosen = np.unique(slot, return_index=True)
+            chosen = chosen[self.keys[free] == _FREE]
+            self.keys[slot[chosen]], self.values[slot[chosen]] = keys[chosen], ranks_of[chosen]
+            rest = np.ones(len(keys), bool)
+            rest[chosen] = False
+            keys, ranks_of, slot = keys[rest], ranks_of[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair; ``none`` for one that doesn't merge or that has no right side (-1)."""
-        keys = left.astype(np.int64) * self.base + right
-        at = np.searchsorted(self.keys, keys)
-        return np.where((self.keys[at] == keys) & (right >= 0) & (left >= 0), self.values[at], self.none).astype(np.int32)
+        """Rank of each pair; -1 for one that doesn't merge or that has no token (-1 or -2) on a side."""
+        keys = left * np.int64(self.base) + (right + 2)
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        hit = there == keys
+        out = np.where(hit, self.values[slot], np.int32(-1))
+        rest = np.flatnonzero((there != _FREE) > hit)
+        while len(rest):  # slots taken by others: on to the next
+            slot[rest] = (slot[rest] + 1) & ((1 << self.bits) - 1)
+            there = self.keys[slot[rest]]
+            hit = there == keys[rest]
+            out[rest[hit]] = self.values[slot[rest[hit]]]
+            rest = rest[~hit & (there != _FREE)]
+        return out
 
     def encode(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """The ids of each distinct word, as little-endian unsigned 32-bit integers. A word that is itself a token gets that token."""
         out: dict[bytes, bytes] = {}
-        todo: dict[int, list[bytes]] = {}
+        todo = []
         for word in set(words):
             if (whole := self.ranks.get(word)) is not None:
                 out[word] = whole.to_bytes(4, "little")
             elif word:
-                todo.setdefault(bisect.bisect_left(self.WIDTHS, len(word)), []).append(word)
+                todo.append(word)
             else:
                 out[word] = b""
-        for k, group in todo.items():
-            if k == len(self.WIDTHS):
-                self._replay(group, out)
-            else:
-                self._replay_table(group, self.WIDTHS[k], out)
+        if todo:
+            self._replay(todo, out)
         return out
 
-    def _replay_table(self, words: list[bytes], width: int, out: dict[bytes, bytes]) -> None:
-        lengths = np.fromiter(map(len, words), np.int32, len(words))
-        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width)
-        column = np.arange(width)
-        ids = np.full((len(words), width + 2), -1, np.int32)
-        ids[:, :width] = np.where(column < lengths[:, None], self.lut[raw], -1)
-        index = self._ranks(ids[:, :width], ids[:, 1 : width + 1])
-        rows, place = np.arange(len(words)), np.arange(width + 2)
-        done = np.full((len(words), width), -1, np.int32)
-        while len(rows):
-            first = index.argmin(axis=1)
-            n = np.arange(len(rows))
-            rank = index[n, first]
-            going = rank < self.none
-            if not going.all():
-                done[rows[~going]] = ids[~going, :width]
-                rows, ids, index, first, rank = rows[going], ids[going], index[going], first[going], rank[going]
-                n = np.arange(len(rows))
-                if not len(rows):
-                    break
-            ids[n, first] = rank
-            shifted = np.minimum(place + (place > first[:, None]), width + 1)
-            ids = np.take_along_axis(ids, shifted, 1)
-            index = np.take_along_axis(index, shifted[:, :width].clip(max=width - 1), 1)
-            index[:, width - 1] = self.none
-            index[n, first] = self._ranks(rank, ids[n, first + 1])
-            inner = first > 0
-            index[n[inner], first[inner] - 1] = self._ranks(ids[n[inner], first[inner] - 1], rank[inner])
-        ends = ((done >= 0).sum(axis=1) * 4 + np.arange(len(words)) * (4 * width)).tolist()
-        coded = done.astype("<u4").tobytes()
-        for k, (word, end) in enumerate(zip(words, ends, strict=True)):
-            out[word] = coded[k * 4 * width : end]
-
     def _replay(self, words: list[bytes], out: dict[bytes, bytes]) -> None:
-        single, pairs, base = self.single, self.pairs, self.base
-        ids: list[int] = []
-        starts = []
-        for word in words:  # -1 stands between words
-            starts.append(len(ids))
-            ids.extend(map(single.__getitem__, word))
-            ids.append(-1)
-        right, left = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        index: dict[int, list[int]] = {}
-        for at in range(len(ids) - 1):
-            if ids[at] >= 0 and ids[at + 1] >= 0 and (rank := pairs.get(ids[at] * base + ids[at + 1], -1)) >= 0:
-                index.setdefault(rank, []).append(at)
-        queue = list(index)
-        heapq.heapify(queue)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
+        ends = np.cumsum(lengths + 1) - 1
+        ids = self.single[raw]
+        ids[ends] = -1  # stands between words, where no pair goes across
+        ids = np.append(ids, np.int32(-1))
+        right = np.minimum(np.arange(1, len(ids) + 1), len(ids) - 1)
+        left = np.arange(-1, len(ids) - 1)
+        first = self._ranks(ids[:-1], ids[1:])
+        order = np.argsort(first, kind="stable")
+        order = order[np.searchsorted(first[order], 0) :]
+        present, begin = np.unique(first[order], return_index=True)
+        at = [*begin.tolist(), len(order)]
+        index: dict[int, list] = {r: [order[a:b]] for r, a, b in zip(present.tolist(), at[:-1], at[1:], strict=True)}
+        queue = list(index)  # sorted, so a heap
         while queue:
             rank = heapq.heappop(queue)
-            places = sorted(index.pop(rank, ()))
-            for k, at in enumerate(places):
-                if ids[at] < 0 or ids[then := right[at]] < 0 or pairs.get(ids[at] * base + ids[then]) != rank:
-                    continue  # a merge has changed this place
-                ids[at], ids[then] = rank, -2
-                right[at] = after = right[then]
-                left[after] = at
-                again = False
-                before = left[at]
-                for start, end in ((before, at), (at, after)):
-                    if start >= 0 and ids[start] >= 0 and ids[end] >= 0 and (new := pairs.get(ids[start] * base + ids[end], -1)) >= 0:
-                        if new not in index:
-                            index[new] = []
-                            heapq.heappush(queue, new)
-                        index[new].append(start)
-                        again |= new <= rank
-                if again:  # the new pair goes before the places that are left
-                    if rank not in index:
-                        index[rank] = []
-                        heapq.heappush(queue, rank)
-                    index[rank].extend(places[k + 1 :])
-                    break
-        for word, at in zip(words, starts, strict=True):
-            got = []
-            while ids[at] >= 0:
-                got.append(ids[at])
-                at = right[at]
-            out[word] = np.array(got, "<u4").tobytes()
+            found = index.pop(rank)
+            places = found[0] if len(found) == 1 else np.concatenate(found)
+            places.sort()
+            then = right[places]
+            # others were changed by a merge or came twice
+            fits = self._ranks(ids[places], ids[then]) == rank
+            fits[1:] &= places[1:] != places[:-1]
+            if not fits.all():
+                places, then = places[fits], then[fits]
+            chained = np.flatnonzero(then[:-1] == places[1:])
+            if len(chained):  # places that share a token: every second one of a run merges, from the left
+                keep = np.ones(len(places), bool)
+                for k in chained.tolist():
+                    keep[k + 1] = not keep[k]
+                places, then = places[keep], then[keep]
+            if not len(places):
+                continue
+            after = right[then]
+            ids[places], ids[then] = rank, -2
+            right[places], left[after] = after, places
+            before = left[places]
+            starts = np.concatenate([before[before >= 0], places])
+            new = self._ranks(ids[starts], ids[right[starts]])
+            met = new >= 0
+            if met.any():
+                starts, new = starts[met], new[met]
+                order = np.argsort(new, kind="stable")
+                starts, new = starts[order], new[order]
+                cuts = np.flatnonzero(new[1:] != new[:-1]) + 1
+                at = [0, *cuts.tolist(), len(new)]
+                groups = ((r, starts[a:b]) for r, a, b in zip(new[at[:-1]].tolist(), at[:-1], at[1:], strict=True))
+                for r, p in groups:
+                    if r in index:
+                        index[r].append(p)
+                    else:
+                        index[r] = [p]
+                        heapq.heappush(queue, r)
+        kept = ids >= 0
+        bounds = np.concatenate([[0], np.cumsum(kept)[ends]]) * 4
+        coded = ids[kept].astype("<u4").tobytes()
+        out.update(zip(words, (coded[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)), strict=True))
 
 
 class TextCodec:
-    """Texts to ids and back, remembering the pieces between spaces that came often.
+    """Texts to ids, remembering the pieces between spaces that came often.
 
     ``encode_spaced`` gives the ids (little-endian unsigned 32-bit integers) of distinct pieces, each with a space put
-    before it, ``encode_plain`` those of texts. Where single spaces part a text, the pattern always cuts before them,
-    so that pieces ' word' are encoded apart.
+    before it, ``encode_plain`` those of texts. Texts that hold one of ``whole`` aren't cut.
     """
 
-    def __init__(self, encode_spaced, encode_plain):
-        self.encode_spaced, self.encode_plain = encode_spaced, encode_plain
+    def __init__(self, encode_spaced, encode_plain, whole: tuple[str, ...] = ()):
+        self.encode_spaced, self.encode_plain, self.whole = encode_spaced, encode_plain, whole
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Of each text, its ids as little-endian unsigned 32-bit integers."""
-        cut = [[t] if not t or _RUNS.search(t) else t.split(" ") for t in texts]
-        if len(self.known) > PIECES:
-            self.known, self.older = {}, self.known
+    def _learn(self, missing: set[str]) -> list[str]:
+        """Makes the pieces known; gives those that are too long to be remembered."""
         known, older = self.known, self.older
-        missing: set[str] = set()
-        firsts: set[str] = set()
-        for pieces in cut:
-            firsts.add(pieces[0])
-            if len(pieces) > 1:
-                missing.update(pieces[1:])
-        missing.difference_update(known)
-        if older:
-            known.update((piece, older[piece]) for piece in missing.intersection(older))
-            missing.difference_update(known)
-        new, first = self.encode_spaced(list(missing)), self.encode_plain(list(firsts))
+        known.update((piece, older[piece]) for piece in missing.intersection(older))
+        new = self.encode_spaced(list(missing.difference(known)))
         known.update(new)
-        out = [first[pieces[0]] + b"".join(map(known.__getitem__, pieces[1:])) for pieces in cut]
-        for piece in new:
-            if len(piece) > PIECE_CHARS:
-                del known[piece]
+        return [piece for piece in new if len(piece) > PIECE_CHARS]
+
+    def _known_ids(self, groups: list[list[str]]) -> list[bytes]:
+        if len(self.known) > PIECES:
+            self.known, self.older = {}, self.known
+        known = self.known
+        found = [list(map(known.get, pieces)) for pieces in groups]
+        gaps = []
+        for pieces, coded in zip(groups, found, strict=True):
+            at = -1
+            for _ in range(coded.count(None)):
+                at = coded.index(None, at + 1)
+                gaps.append((coded, at, pieces[at]))
+        long = self._learn({piece for _, _, piece in gaps}) if gaps else []
+        for coded, at, piece in gaps:
+            coded[at] = known[piece]
+        out = list(map(b"".join, found))
+        for piece in long:
+            del known[piece]
         return out
 
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Of each text, its ids as little-endian unsigned 32-bit integers."""
+        cut = [[t] if any(w in t for w in self.whole) else cut_at_spaces(t) if len(t) <= SEGMENT else None for t in texts]
+        rest = iter(self._known_ids([pieces[1:] for pieces in cut if pieces is not None]))
+        first = self.encode_plain([pieces[0] for pieces in cut if pieces is not None])
+        return [self._long(t) if pieces is None else first[pieces[0]] + next(rest) for t, pieces in zip(texts, cut, strict=True)]
+
+    def _long(self, text: str) -> bytes:
+        """A long text's ids, cut at a safe space about every SEGMENT characters."""
+        out, at, lead = [], 0, False
+        while at < len(text):
+            safe = _SAFE.search(text, at + SEGMENT)
+            end = safe.start() if safe else len(text)
+            pieces = cut_at_spaces(text[at:end])
+            if not lead:
+                out.append(self.encode_plain(pieces[:1])[pieces[0]])
+                pieces = pieces[1:]
+            out += self._known_ids([pieces])
+            at, lead = end + 1, True
+        return b"".join(out)
+
 
 _CODECS: dict[tuple, tuple] = {}
 
@@ -222,7 +249,7 @@ def rank_codec(path: str, pattern: str) -> tuple[TextCodec, MergeReplay]:
             ids = {w: coded[b] for w, b in raw.items()}
             return {piece: b"".join(map(ids.__getitem__, words)) for piece, words in cut.items()}
 
-        _CODECS[path, pattern] = TextCodec(lambda pieces: encode({p: split(" " + p) for p in pieces}), lambda pieces: encode({p: split(p) for p in pieces})), replay
+        _CODECS[path, pattern] = TextCodec(lambda pieces: encode({p: split(" " + p) for p in pieces}), lambda texts: encode({t: split(t) for t in texts})), replay
     return _CODECS[path, pattern]
 
 
@@ -254,7 +281,7 @@ def _per_document(docs, ranks_path, pattern, id_col, text_col, schema, columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, replay = rank_codec(ranks_path, pattern)
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=LEARNT_BYTES):
             ids = codec.ids(batch.column(1).to_pylist())
             values, types = columns(ids, [decode(x, replay.tokens) for x in ids])
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, t) for v, t in zip(values, types, strict=True))], names)
