@@ -9,13 +9,17 @@ salted counts, then look their pattern and copy up. No group of pieces meets in
 from __future__ import annotations
 
 import bisect
+import itertools
+import json
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,35 +27,77 @@ from regionloom.llm.bpe import TextCodec
 from regionloom.llm.common import blocks, checkpointed, doc_view, shuffle_partitions
 
 _CODECS: dict[str, TextCodec] = {}
-#: Pieces of text that are joined for one call of the tokenizer.
-JOINED = 2000
+#: Pieces of text that are joined for one call of the tokenizer, and of the coder by ranks.
+JOINED, JOINED_PLAIN = 50, 2000
+#: The split pattern of byte-level tokenizer files (a fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters whose classes are the same in every version of Unicode.
+_PLAIN = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
+
+
+def _alphabet() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else the next from 256."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+def rank_coder(tokenizer) -> tiktoken.Encoding | None:
+    """A coder by ranks that gives a byte-level BPE tokenizer's ids, where that is certain.
+
+    It merges the pair whose joined token has the least id; the tokenizer merges the first listed pair. Both are the same
+    if ids follow the list and every token, coded alone by the list, comes out whole: the shortest token that
+    was ever joined from a pair not listed would not.
+    """
+    spec = json.loads(tokenizer.to_str())
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    usual = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    if not usual or spec["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+        return None
+    ids = [model["vocab"]["".join(pair if isinstance(pair, list) else pair.split(" "))] for pair in model["merges"]]
+    letters = _alphabet()
+    if any(a >= b for a, b in itertools.pairwise(ids)) or any(len(tokenizer.model.tokenize(t)) != 1 or not letters.keys() >= set(t) for t in model["vocab"]):
+        return None
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks={bytes(map(letters.__getitem__, t)): k for t, k in model["vocab"].items()}, special_tokens={})
 
 
 def tokenizer_codec(path: str) -> TextCodec:
-    """The worker's codec around a tokenizer file of the tokenizers library that splits before single spaces, as byte-level ones do."""
+    """The worker's codec around a byte-level tokenizer file of the tokenizers library that splits before single spaces.
+
+    Ids are the library's, added tokens in the text included; plain pieces are coded by ``rank_coder``. A token of a
+    byte-level vocabulary is written with a character a byte, so that lengths tell where the pieces of a joined text part.
+    """
     if path not in _CODECS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        added, ranks = tokenizer.get_added_tokens_decoder(), rank_coder(tokenizer)
+        size = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, k in tokenizer.get_vocab(with_added_tokens=False).items():
+            size[k] = len(token)
+
+        def coded(pieces: list[str], joined: int, ids_of) -> Iterator[tuple[str, bytes]]:
+            groups = [pieces[at : at + joined] for at in range(0, len(pieces), joined)]
+            for some, got in zip(groups, ids_of([" " + " ".join(g) for g in groups]), strict=True):
+                ids = np.array(got, "<u4")
+                lengths = [len(p) + 1 for p in some] if all(map(str.isascii, some)) else [len(p.encode()) + 1 for p in some]
+                ends = (4 * (np.searchsorted(np.cumsum(size[ids]), np.cumsum(lengths)) + 1)).tolist()
+                yield from zip(some, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True)
+
+        def by_library(texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
         def spaced(pieces: list[str]) -> dict[str, bytes]:
-            out = {}
-            for at in range(0, len(pieces), JOINED):
-                some = pieces[at : at + JOINED]
-                coded = tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-                ids = np.array(coded.ids, "<u4")
-                starts = np.fromiter((a for a, _ in coded.offsets), np.int64, len(ids))
-                ends = (4 * np.searchsorted(starts, np.cumsum([len(p) + 1 for p in some]))).tolist()
-                raw = ids.tobytes()
-                out.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
-            return out
-
-        def plain(texts: list[str]) -> dict[str, bytes]:
-            return {t: np.array(e.ids, "<u4").tobytes() for t, e in zip(texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True)}
-
-        _CODECS[path] = TextCodec(spaced, plain)
+            plain = [p for p in pieces if p.isascii() and p.isprintable() or _PLAIN.fullmatch(p)] if ranks else []
+            rest = list(set(pieces).difference(plain)) if len(plain) < len(pieces) else []
+            return dict(coded(plain, JOINED_PLAIN, lambda texts: map(ranks.encode_ordinary, texts))) | dict(coded(rest, JOINED, by_library))
+
+        def whole(texts: list[str]) -> dict[str, bytes]:
+            some = list(set(texts))
+            return {t: np.array(ids, "<u4").tobytes() for t, ids in zip(some, by_library(some), strict=True)}
+
+        _CODECS[path] = TextCodec(spaced, whole, tuple(token.content for token in added.values()))
     return _CODECS[path]
 
 
