@@ -1,33 +1,38 @@
 """Approximate nearest neighbours: a graph by NN-descent, searched greedily.
 
-Vectors that are the same are one node. The graph starts from exact neighbours within short runs of
-vectors sorted by random sign codes of their directions; each NN-descent round joins a node's neighbours
-(forward and reverse) among each other, pairs met before left out, until few edges are replaced. A query
-walks from its own node's neighbours, in joined rounds for all queries, until its beam holds no node that
-it hasn't walked from. Beams are doubled until a sample of the queries, compared with all nodes, finds
-enough of its true neighbours, so recall doesn't hang on the size of the table. All groups are bounded by
-the degree, the length of a run or the beam.
+Vectors that are the same are one node. The graph starts from short runs of vectors sorted by random sign
+codes of their directions; NN-descent rounds join a node's neighbours (forward and reverse) among each other,
+pairs met before left out, until next to no edge is replaced. A query walks from its own node, in joined rounds
+for all queries: the lists of the nodes in its beam, which carry their neighbours' vectors, are scored against
+it, until its beam holds no node that it hasn't walked from. Beams are doubled until a sample of the queries,
+compared with all nodes, finds enough of its true neighbours, so recall doesn't hang on the size of the table.
+Graph and beam use vectors of one byte a component; what is returned is ranked by exact scores. All groups are
+bounded by the degree, the length of a run or the beam.
 """
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regionloom.llm.common import checkpointed
+from regionloom.llm.common import checkpointed, shuffle_partitions
 
-DEGREE, TABLES, RUN_ROWS, PER_RUN = 32, 12, 2048, 20
+DEGREE, TABLES, RUN_ROWS, PER_RUN = 32, 12, 1024, 10
 #: NN-descent ends with the round that replaces at most this share of the edges.
 SETTLED = 0.01
-#: The first width of a beam, how many times that it holds for wider ones, and how many nodes a query walks from in a round.
-BEAM, HELD, EXPAND = 128, 4, 32
+#: The first width of a beam, how many times that it holds for wider ones, and how many nodes a query walks from in its first round.
+BEAM, HELD, FIRST = 160, 2, 16
 #: Queries whose neighbours are looked for among all nodes, and the share of these that a beam must hold.
 SAMPLE, ENOUGH = 256, 0.92
+#: Queries compared with all nodes at once in the exact mode.
+BLOCK = 4096
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -39,7 +44,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, dims)
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, dims + 4)
+    return raw[:, 4:].view(np.int8) * np.ascontiguousarray(raw[:, :4]).view(np.float32)
 
 
 def _directions(x: np.ndarray) -> np.ndarray:
@@ -55,7 +61,7 @@ def _top(sim: np.ndarray, k: int) -> np.ndarray:
 
 
 def packed_nodes(nodes: DataFrame, most: float, dims: int) -> DataFrame:
-    """u and x: the vector as float32, divided by the largest length.
+    """u and x: the vector divided by the largest length, as a step (float32) and a signed byte a component.
 
     The graph's similarity of v to u is the inner product of u's direction with v, which ranks u's neighbours
     as the inner product does, whatever the other lengths in the table.
@@ -63,8 +69,10 @@ def packed_nodes(nodes: DataFrame, most: float, dims: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = (batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims) / most).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["u", "x"])
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims) / most
+            step = np.maximum(np.abs(x).max(axis=1, keepdims=True) / 127, np.finfo(np.float32).tiny).astype(np.float32)
+            raw = np.hstack([step.view(np.uint8), np.rint(x / step).clip(-127, 127).astype(np.int8).view(np.uint8)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in raw], pa.binary())], ["u", "x"])
 
     return nodes.select("u", "v").mapInArrow(run, "u long, x binary")
 
@@ -86,28 +94,29 @@ def first_graph(packed: DataFrame, dims: int, count: int, seed: int = 11) -> Dat
         def run_edges(rows):
             u = np.concatenate([r[0] for r in rows])
             x = np.concatenate([r[1] for r in rows])
-            if len(u) < 2:
-                return
             sim = _directions(x) @ x.T
             np.fill_diagonal(sim, -2)
             k = min(PER_RUN, len(u) - 1)
             best = _top(sim, k)
-            yield _edges(np.repeat(u, k), u[best].ravel(), np.take_along_axis(sim, best, 1).ravel())
+            return np.repeat(u, k), u[best].ravel(), np.take_along_axis(sim, best, 1).ravel()
 
         held, n = [], 0
         for batch in batches:
             u, x = batch.column(2).to_numpy(), _matrix(batch.column(3), dims)
+            found = []
             for at in range(0, len(u), RUN_ROWS):
                 held.append((u[at : at + RUN_ROWS], x[at : at + RUN_ROWS]))
                 n += len(held[-1][0])
                 if n >= RUN_ROWS:
-                    yield from run_edges(held)
+                    found.append(run_edges(held))
                     held, n = [], 0
-        if held:
-            yield from run_edges(held)
+            if found:
+                yield _edges(*(np.concatenate(p) for p in zip(*found, strict=True)))
+        if n > 1:
+            yield _edges(*run_edges(held))
 
     sort = packed.mapInArrow(coded, "code long, along float, u long, x binary")
-    parts = max(1, min(4096, count * TABLES // (8 * RUN_ROWS)))
+    parts = max(1, min(4096, count * TABLES // 16_384))
     return sort.repartitionByRange(parts, "code", "along").sortWithinPartitions("code", "along").mapInArrow(compared, "u long, v long, s float")
 
 
@@ -173,35 +182,82 @@ def settled_graph(packed: DataFrame, dims: int, count: int) -> DataFrame:
             return graph
 
 
+def block_best(some: list, nodes: DataFrame, top: int) -> DataFrame:
+    """k, u, score, n: of each query in ``some`` (q, node, qv), the ``top`` best of all nodes other than its own, n from 1."""
+    own, sought = np.array([r["node"] for r in some]), np.array([r["qv"] for r in some])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, ids = np.full((len(own), 0), -np.inf), np.zeros((len(own), 0), np.int64)
+        for batch in batches:
+            u = batch.column(0).to_numpy()
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, sought.shape[1])
+            for at in range(0, len(u), 2048):
+                some_u = u[at : at + 2048]
+                sim = np.hstack([best, np.where(own[:, None] == some_u, -np.inf, sought @ x[at : at + 2048].T)])
+                every = np.hstack([ids, np.broadcast_to(some_u, (len(own), len(some_u)))])
+                pick = np.lexsort((every, -sim), axis=1)[:, :top] if sim.shape[1] <= top else _top(sim, top)
+                best, ids = np.take_along_axis(sim, pick, 1), np.take_along_axis(every, pick, 1)
+        k, at = np.nonzero(best > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(ids[k, at]), pa.array(best[k, at])], ["k", "u", "score"])
+
+    found = nodes.select("u", "v").mapInArrow(run, "k long, u long, score double")
+    return found.selectExpr("*", "row_number() OVER (PARTITION BY k ORDER BY score DESC, u) AS n").where(f"n <= {top}")
+
+
 def least_scores(queries: DataFrame, nodes: DataFrame, top: int) -> list[tuple[int, float, int]]:
     """Of SAMPLE queries (q, node, qv): q, the least score among its ``top`` best nodes other than its own, and how many these are."""
     some = queries.orderBy(F.xxhash64("q", F.lit(3)), "q").limit(SAMPLE).collect()
     if not some:
         return []
-    own, sought = np.array([r["node"] for r in some]), np.array([r["qv"] for r in some])
+    best = block_best(some, nodes, top).groupBy("k").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    return [(some[r["k"]]["q"], r["least"], r["n"]) for r in best.collect()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = np.full((len(own), 0), -np.inf)
-        for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, sought.shape[1])
-            sim = np.where(own[:, None] == batch.column(0).to_numpy(), -np.inf, sought @ x.T)
-            best = -np.sort(-np.hstack([best, sim]), axis=1)[:, :top]
-        at, _ = np.nonzero(best > -np.inf)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(best[best > -np.inf])], ["k", "score"])
 
-    best = nodes.select("u", "v").mapInArrow(run, "k long, score double").selectExpr("k", "score", "row_number() OVER (PARTITION BY k ORDER BY score DESC) AS n").where(f"n <= {top}")
-    return [(some[r["k"]]["q"], r["least"], r["n"]) for r in best.groupBy("k").agg(F.min("score").alias("least"), F.count("*").alias("n")).collect()]
+def every_best(queries: DataFrame, nodes: DataFrame, top: int) -> DataFrame:
+    """q, c for the ``top`` best nodes of every query and its own: all compared, BLOCK queries at a time."""
+    spark = queries.sparkSession
+    blocks = max(1, math.ceil(queries.count() / (BLOCK // 2)))
+    found = queries.selectExpr("q", "node AS c")
+    for b in range(blocks):
+        some = queries.where(F.pmod(F.xxhash64("q", F.lit(5)), F.lit(blocks)) == b).collect()
+        if some:
+            named = spark.createDataFrame([(k, r["q"]) for k, r in enumerate(some)], "k long, q long")
+            found = found.unionByName(checkpointed(block_best(some, nodes, top).join(named, "k").selectExpr("q", "u AS c")))
+    return found
 
 
 _DOT = "aggregate(zip_with({a}, {b}, (x, y) -> x * y), 0D, (t, p) -> t + p)"
 
 
-def search(vectors: DataFrame, top: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def neighbour_lists(graph: DataFrame, packed: DataFrame) -> DataFrame:
+    """c and near (w, x): the neighbours of each node, both ways, with their vectors; dealt by c once for all rounds."""
+    lists = both_ways(graph).selectExpr("u AS c", "v AS u").join(packed, "u").groupBy("c").agg(F.collect_list(F.struct(F.col("u").alias("w"), "x")).alias("near"))
+    return checkpointed(lists.repartition(shuffle_partitions(packed), "c"))
+
+
+def scored_lists(walks: DataFrame, dims: int) -> DataFrame:
+    """q, c, score: of walks (q, qx, least, near) the neighbours that score above ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                near, sizes = part.column(3).flatten(), pa.compute.list_value_length(part.column(3)).to_numpy()
+                row = np.repeat(np.arange(part.num_rows), sizes)
+                score = np.einsum("ij,ij->i", _matrix(part.column(1), dims)[row], _matrix(near.field(1), dims))
+                ok = score > part.column(2).to_numpy()[row]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row[ok])), pa.array(near.field(0).to_numpy()[ok]), pa.array(score[ok])], ["q", "c", "score"])
+
+    return walks.select("q", "qx", "least", "near").mapInArrow(run, "q long, c long, score float")
+
+
+def search(vectors: DataFrame, top: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", exact: bool = False) -> DataFrame:
     """The ``top`` nearest rows found for each row whose id is divisible by ``every``: query_id, rank, vec_id, score.
 
     Nearness is the largest inner product in double precision, ties go to the smaller id. A row is no neighbour of
     itself. Of a repeated id with the same vector one row counts; rows that can't be compared (see ``usable``) take no part. With
-    at most ``top`` others all are returned; an empty table gives an empty result.
+    at most ``top`` others all are returned; an empty table gives an empty result. ``exact`` compares every query with
+    all rows, in blocks, instead of walking the graph.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
@@ -214,39 +270,59 @@ def search(vectors: DataFrame, top: int = 20, every: int = 20, id_col: str = "ve
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     members = members.alias("m").join(nodes.selectExpr("u AS node", "v AS nv", "xxhash64(v) AS h").alias("k"), F.expr("xxhash64(m.v) = k.h AND m.v = k.nv")).selectExpr("node", "m.id AS member")
     members = checkpointed(members)
-    packed = checkpointed(packed_nodes(nodes, float(shape["m"]), shape["d"]))
-    around = checkpointed(both_ways(settled_graph(packed, shape["d"], shape["n"])))
     queries = checkpointed(distinct.where(f"id % {every} = 0").alias("q").join(nodes.selectExpr("u AS node", "v AS nv", "xxhash64(v) AS h").alias("k"), F.expr("q.h = k.h AND q.v = k.nv")).selectExpr("q.id AS q", "node", "q.v AS qv"))
 
-    def scored(pairs: DataFrame) -> DataFrame:
-        met = pairs.join(queries.select("q", "qv"), "q").join(nodes.withColumnRenamed("u", "c"), "c")
-        return met.select("q", "c", F.expr(_DOT.format(a="qv", b="v")).alias("score"))
+    def rescored(pairs: DataFrame) -> DataFrame:
+        """q, c and the exact score of pairs."""
+        return pairs.join(queries.select("q", "qv"), "q").join(nodes.withColumnRenamed("u", "c"), "c").select("q", "c", F.expr(_DOT.format(a="qv", b="v")).alias("score"))
+
+    found = every_best(queries, nodes, top) if exact else _walked_beams(queries, nodes, rescored, top, shape)
+    best = rescored(found).join(members, F.col("c") == F.col("node")).where("q <> member")
+    ranked = best.selectExpr("q AS query_id", "member AS vec_id", "score", "CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, member) AS INT) AS rank")
+    return ranked.where(f"rank <= {top}").select("query_id", "rank", "vec_id", "score")
+
+
+def _walked_beams(queries: DataFrame, nodes: DataFrame, rescored, top: int, shape) -> DataFrame:
+    """q, c: the nodes found for each query (q, node, qv), twice ``top`` and its own, by greedy search."""
+    spark, dims = queries.sparkSession, shape["d"]
+    packed = checkpointed(packed_nodes(nodes, float(shape["m"]), dims))
+    graph = settled_graph(packed, dims, shape["n"])
+    lists = neighbour_lists(graph, packed)
+    sought = checkpointed(queries.select("q", "node").join(packed.selectExpr("u AS node", "x AS qx"), "node").select("q", "node", "qx"))
 
-    def cut(beam: DataFrame, held: int) -> DataFrame:
-        return beam.selectExpr("q", "c", "score", "open", "row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS place").where(f"place <= {held}")
+    def cut(found: DataFrame, held: int) -> DataFrame:
+        best = found.groupBy("q", "c").agg(F.max("score").alias("score"), F.bool_and("open").alias("open"))
+        return best.selectExpr("*", "row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS place").where(f"place <= {held}")
 
-    def walked(beam: DataFrame, width: int, held: int) -> DataFrame:
+    def walked(beam: DataFrame, width: int, held: int, first: int) -> DataFrame:
         # what is cut from a beam is worse than all it ever holds again, so no node is walked from twice
-        while beam.where(f"open AND place <= {width}").limit(1).count():
-            chosen = beam.where(f"open AND place <= {width}").selectExpr("q", "c", "row_number() OVER (PARTITION BY q ORDER BY place) AS n").where(f"n <= {EXPAND}").select("q", "c")
-            new = chosen.join(around.selectExpr("u AS c", "v AS w"), "c").selectExpr("q", "w AS c").distinct().join(beam.select("q", "c"), ["q", "c"], "left_anti")
-            kept = beam.join(chosen.withColumn("walked", F.lit(True)), ["q", "c"], "left").selectExpr("q", "c", "score", "open AND walked IS NULL AS open")
-            beam = checkpointed(cut(kept.unionByName(scored(new).withColumn("open", F.lit(True))), held))
+        while beam.where(f"open AND place <= {first}").limit(1).count():
+            full = beam.where(f"place = {held}").select("q", F.col("score").alias("least"))
+            chosen = beam.where(f"open AND place <= {first}").select("q", "c").join(sought, "q").join(full, "q", "left").selectExpr("q", "c", "qx", "coalesce(least, CAST('-inf' AS FLOAT)) AS least")
+            new = scored_lists(chosen.join(lists, "c"), dims).withColumn("open", F.lit(True))
+            kept = beam.selectExpr("q", "c", "score", f"open AND place > {first} AS open")
+            beam = checkpointed(cut(kept.unionByName(new), held))
+            first = width
         return beam
 
     least = least_scores(queries, nodes, top)
     wanted = spark.createDataFrame(least, "q long, least double, n long")
 
     def recall(beam: DataFrame) -> float:
-        hits = beam.join(queries.select("q", "node"), "q").where("c <> node").join(F.broadcast(wanted), "q").where("score >= least - 1e-12 * abs(least)")
+        some = beam.where(f"place <= {2 * top + 1}").select("q", "c").join(F.broadcast(wanted.select("q")), "q")
+        hits = rescored(some).join(queries.select("q", "node"), "q").where("c <> node").join(F.broadcast(wanted), "q").where("score >= least - 1e-12 * abs(least)")
         found = hits.groupBy("q").agg(F.least(F.count("*"), F.max("n")).alias("n")).agg(F.sum("n").alias("n")).first()["n"] or 0
         return found / max(1, sum(n for _, _, n in least))
 
-    seeds = queries.select("q", "node").join(around.selectExpr("u AS node", "v AS c"), "node").select("q", "c").unionByName(queries.selectExpr("q", "node AS c")).distinct()
-    width = max(BEAM, 2 * top)
+    # a query's own list is known with its scores from the graph; of its own node only the list is of use
+    known = graph.selectExpr("u AS node", "v AS c", "s AS score").join(sought.select("q", "node"), "node").selectExpr("q", "c", "CAST(NULL AS FLOAT) AS score", "TRUE AS open")
+    start = known.join(sought.select("q", "qx"), "q").join(packed.selectExpr("u AS c", "x"), "c")
+    seeds = scored_lists(start.selectExpr("q", "qx", "CAST('-inf' AS FLOAT) AS least", "array(struct(c AS w, x)) AS near"), dims).withColumn("open", F.lit(True))
+    own = sought.join(packed.selectExpr("u AS node", "x"), "node").selectExpr("q", "qx", "CAST('-inf' AS FLOAT) AS least", "array(struct(node AS w, x)) AS near")
+    width = max(BEAM, 4 * top)
     held = HELD * width
-    beam = checkpointed(cut(scored(seeds).join(queries.selectExpr("q", "node AS c", "FALSE AS own"), ["q", "c"], "left").selectExpr("q", "c", "score", "coalesce(own, TRUE) AS open"), held))
-    beam = walked(beam, width, held)
+    beam = checkpointed(cut(seeds.unionByName(scored_lists(own, dims).withColumn("open", F.lit(True))), held))
+    beam = walked(beam, width, held, FIRST)
     while least and (share := recall(beam)) < ENOUGH:
         if not beam.where(f"place > {width}").limit(1).count():
             warnings.warn(f"only {share:.2f} of the neighbours of sampled queries can be reached", stacklevel=2)
@@ -256,7 +332,5 @@ def search(vectors: DataFrame, top: int = 20, every: int = 20, id_col: str = "ve
             # nodes walked from may lead to nodes that there was no room for
             held *= HELD
             beam = checkpointed(beam.withColumn("open", F.lit(True)))
-        beam = walked(beam, width, held)
-    found = beam.where(f"place <= {top + 1}").join(members, beam["c"] == members["node"]).where("q <> member")
-    ranked = found.selectExpr("q AS query_id", "member AS vec_id", "score", "CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, member) AS INT) AS rank")
-    return ranked.where(f"rank <= {top}").select("query_id", "rank", "vec_id", "score")
+        beam = walked(beam, width, held, width)
+    return beam.where(f"place <= {2 * top + 1}").select("q", "c")
