@@ -3,9 +3,12 @@
 Two equal strings of LENGTH bytes contain the same least-hashed q-gram at the same place, so it is
 enough to sort the suffixes at such anchors (about one position in 35). The q-gram at an anchor is
 its initial bucket. Identifiers of longer strings come from those at later offsets by doubling (a
-string of 2k bytes is named by its two halves of k), and are reused twice: buckets are sorted on the
-identifier of the anchor's whole context (all strings of LENGTH bytes that it stands for), which settles
-all but the ends of repeats; what is left is refined string by string on the bytes themselves.
+string of 2k bytes is named by its two halves of k): buckets are sorted on the identifier of the
+anchor's whole context (all strings of LENGTH bytes that it stands for), which settles all but the
+ends of repeats. What is left is refined exactly: the bytes around the anchors are dealt by bucket,
+and the suffixes of each pool are sorted on their bucket and the bucket at a later offset, the offset
+doubling, until strings of LENGTH bytes are told apart; suffixes alone in their bucket go no further.
+The strings of a bucket with very many anchors are dealt singly instead.
 """
 
 from __future__ import annotations
@@ -17,14 +20,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from regionloom.llm.common import blocks, bytes_of, checkpointed
+from regionloom.llm.common import blocks, bytes_of, checkpointed, packed_rows
 
 LENGTH, GRAM = 100, 32
 #: Starts of q-grams within a string of LENGTH bytes.
 STARTS = LENGTH - GRAM + 1
 #: Bytes whose anchors are compared with each other before the shuffle, and bytes hashed at once (numpy takes some 100 times these).
 SEGMENT, HASHED = 2 << 20, 256 << 10
+#: Bytes of contexts refined at once (numpy takes some 100 times these), anchors of a bucket that are, and the parts of a hot string's places.
+POOL, BUCKET_ROWS, SALTS = 256 << 10, 1024, 16
 LAST_ID = 2**63 - 1
 
 _BYTE_IDS = np.random.default_rng(7).integers(0, 2**64, 256, np.uint64)
@@ -89,17 +95,17 @@ def _anchors_in(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return gram[owner[new]], context, doc[new], first, place, more
 
 
-def _with_part(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with _doc, _part, _text, and these three of every document: those that share an id are told apart by part, the same rows are one."""
-    keyed = docs.withColumns({"_doc": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), "_text": F.coalesce(F.col(text_col).cast("string"), F.lit(""))})
-    repeated = keyed.groupBy("_doc").agg(F.count("*").alias("n")).where("n > 1").select("_doc")
+def _with_part(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (row, doc, txt) with part, and doc_id, part, text of every document: those that share an id are told apart by part, the same rows are one."""
+    keyed = rows.withColumn("doc", F.coalesce("doc", F.lit(LAST_ID)))
+    repeated = keyed.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc")
     if repeated.limit(1).count() == 0:
-        rows = keyed.withColumn("_part", F.lit(0))
-        return rows, rows.select("_doc", "_part", "_text")
-    hashed = keyed.withColumn("_hash", F.xxhash64("_text"))
-    parts = hashed.join(repeated, "_doc", "left_semi").select("_doc", "_hash").distinct().selectExpr("_doc", "_hash", "row_number() OVER (PARTITION BY _doc ORDER BY _hash) - 1 AS _part")
-    rows = checkpointed(hashed.join(parts, ["_doc", "_hash"], "left").withColumn("_part", F.coalesce("_part", F.lit(0))).drop("_hash"))
-    return rows, rows.select("_doc", "_part", "_text").dropDuplicates(["_doc", "_part"])
+        parted = keyed.withColumn("part", F.lit(0))
+        return parted, parted.selectExpr("doc AS doc_id", "part", "txt AS text")
+    hashed = keyed.withColumn("hash", F.xxhash64("txt"))
+    parts = hashed.join(repeated, "doc", "left_semi").select("doc", "hash").distinct().selectExpr("doc", "hash", "row_number() OVER (PARTITION BY doc ORDER BY hash) - 1 AS nth")
+    parted = checkpointed(hashed.join(parts, ["doc", "hash"], "left").selectExpr("row", "doc", "txt", "coalesce(nth, 0) AS part"))
+    return parted, parted.selectExpr("doc AS doc_id", "part", "txt AS text").dropDuplicates(["doc_id", "part"])
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,57 +131,91 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, part, text, asked (gram, start, place, more) to a row with the bytes for each that is asked."""
-    names = ["gram", "doc_id", "part", "start", "place", "bytes"]
+    """doc_id, part, text, asked (gram, start, place, more, hot) to a row with the bytes for each that is asked and isn't hot."""
+    names = ["gram", "doc_id", "part", "start", "bytes"]
     for batch in blocks(batches, limit=SEGMENT):
         rows = []
         for doc, part, text, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            rows += [(a["gram"], doc, part, a["start"], a["place"], text[a["start"] : a["start"] + a["more"] + LENGTH]) for a in asked]
+            rows += [(a["gram"], doc, part, a["start"], text[a["start"] : a["start"] + a["more"] + LENGTH]) for a in asked if not a["hot"]]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int16(), pa.binary()), strict=True)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names)
 
 
-def refine_bucket(members: list[tuple[int, int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
-    """Of the strings around one q-gram, those that start earlier elsewhere: (doc_id, part, start, end) covered.
+def _single_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As ``_contexts`` for what is hot: the digest (a, b) and place of each string."""
+    names = ["a", "b", "doc_id", "part", "start"]
+    for batch in blocks(batches, limit=SEGMENT):
+        for doc, part, text, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            starts = sorted({k for a in asked if a["hot"] for k in range(a["start"], a["start"] + a["more"] + 1)})
+            if starts:
+                ids = np.frombuffer(b"".join(hashlib.blake2b(text[k : k + LENGTH], digest_size=16).digest() for k in starts), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[::2]), pa.array(ids[1::2]), pa.array([doc] * len(starts), pa.int64()), pa.array([part] * len(starts), pa.int32()), pa.array(starts, pa.int64())], names)
+
 
-    members: (doc_id, part, start, place, bytes).
+def string_buckets(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all strings of LENGTH bytes in the texts that end at ``ends`` in ``raw``, and the bucket of each: equal strings share it.
+
+    Buckets are those of 8 bytes first. Each round sorts the suffixes that aren't alone on their own bucket and that at the offset
+    at which it ends, and gives the new buckets numbers of their own; a suffix that is alone keeps its bucket, which later
+    rounds of others point to.
     """
-    out = []
-    seen: dict[bytes, None] = {}
-    for doc, part, start, place, data in sorted(members, key=lambda m: (m[0], m[1], m[2] + m[3])):
-        # in this order the first member with a string has its earliest start: a string lies at one distance from the q-gram
-        run = None
-        for k in range(len(data) - LENGTH + 1):
-            key = data[k : k + LENGTH] + bytes((place - k,))
-            if key in seen:
-                if run is None:
-                    run = k
-            else:
-                seen[key] = None
-                if run is not None:
-                    out.append((doc, part, start + run, start + k - 1 + LENGTH))
-                    run = None
-        if run is not None:
-            out.append((doc, part, start + run, start + len(data)))
-    return out
+    width = 8
+    after = np.repeat(ends, np.diff(np.concatenate([[0], ends])))  # end of each byte's text
+    at = np.flatnonzero(np.arange(len(raw)) + width <= after)
+    grams = np.zeros(len(raw), np.uint64)
+    for k in range(width):
+        grams[at] = (grams[at] << np.uint64(8)) | raw[at + k]
+    bucket = np.full(len(raw), -1, np.int64)
+    bucket[at] = np.unique(grams[at], return_inverse=True)[1]
+    while width < LENGTH:
+        offset = min(width, LENGTH - width)
+        at = at[at + width + offset <= after[at]]
+        own = bucket[at]
+        open_ = at[np.bincount(own, minlength=1)[own] > 1]
+        _, fresh = np.unique(np.stack([bucket[open_], bucket[open_ + offset]]), axis=1, return_inverse=True) if len(open_) else (None, open_)
+        bucket[open_] = bucket.max(initial=0) + 1 + fresh.ravel()
+        width += offset
+    return at, bucket[at]
+
+
+def refine_pool(docs: np.ndarray, parts: np.ndarray, starts: np.ndarray, data: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Of the strings in ``data``, the bytes around anchors at ``starts`` of documents, those that start earlier elsewhere: doc_id, part, start, end covered."""
+    sizes = np.fromiter(map(len, data), np.int64, len(data))
+    ends = np.cumsum(sizes)
+    at, bucket = string_buckets(np.frombuffer(b"".join(data), np.uint8), ends)
+    row = np.searchsorted(ends, at, "right")
+    doc, part, start = docs[row], parts[row], starts[row] + at - (ends - sizes)[row]
+    order = np.lexsort((start, part, doc, bucket))
+    again = np.zeros(len(at), bool)
+    again[order[1:]] = bucket[order[1:]] == bucket[order[:-1]]
+    # neighbouring strings of one member become one span
+    hit = np.flatnonzero(again)
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(row[hit]) != 0)])) if len(hit) else hit
+    first, last = hit[new], hit[np.append(new[1:], len(hit)) - 1] if len(hit) else hit
+    return doc[first], part[first], start[first], start[last] + LENGTH
 
 
 def _refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    key, members = None, []
+    """Whole buckets, sorted by gram, refined together in pools of about POOL bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
 
-    def out(rows):
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))], ["doc_id", "part", "start", "end"])
+    def out(rows: pa.Table) -> pa.RecordBatch:
+        found = refine_pool(*(rows.column(k).to_numpy() for k in (1, 2, 3)), rows.column(4).to_pylist())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "part", "start", "end"])
 
     for batch in batches:
-        rows = []
-        for gram, *member in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
-            if gram != key:
-                rows += refine_bucket(members) if len(members) > 1 else []
-                key, members = gram, []
-            members.append(tuple(member))
-        yield out(rows)
-    if len(members) > 1:
-        yield out(refine_bucket(members))
+        gram = batch.column(0).to_numpy()
+        changes = [0, *(np.flatnonzero(np.diff(gram)) + 1).tolist(), len(gram)]
+        first = 0
+        for a, b in zip(changes[:-1], changes[1:], strict=True):
+            if size >= POOL and (first < a or held) and (a or held[-1].column(0)[-1].as_py() != gram[0]):
+                yield out(pa.Table.from_batches([*held, batch.slice(first, a - first)]))
+                held, size, first = [], 0, a
+            size += (b - a) * (LENGTH + 35)
+        held.append(batch.slice(first))
+    if held:
+        yield out(pa.Table.from_batches(held))
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -208,30 +248,36 @@ def covered_spans(keyed: DataFrame) -> DataFrame:
         "*",
         "row_number() OVER (PARTITION BY gram, context ORDER BY doc_id, part, at) AS nth",
         "min(context) OVER (PARTITION BY gram) <> max(context) OVER (PARTITION BY gram) AS mixed",
+        f"count(*) OVER (PARTITION BY gram) > {BUCKET_ROWS} AS hot",
     )
-    flagged = checkpointed(sorted_rows.where("at & 128 <> 0 OR nth > 1 OR mixed").selectExpr("part", "doc_id", "IF(nth > 1, at | 128, at) AS at", "gram"))
-    parted = flagged.selectExpr("part", "doc_id", "gram", "shiftright(at, 15) AS start", "CAST(shiftright(at, 8) & 127 AS SMALLINT) AS place", "CAST(at & 127 AS SMALLINT) AS more", "at & 128 <> 0 AS covered")
-    asked = parted.where("NOT covered").groupBy("doc_id", "part").agg(F.collect_list(F.struct("gram", "start", "place", "more")).alias("asked"))
+    flagged = checkpointed(sorted_rows.where("at & 128 <> 0 OR nth > 1 OR mixed").selectExpr("part", "doc_id", "IF(nth > 1, at | 128, at) AS at", "gram", "hot"))
+    parted = flagged.selectExpr("part", "doc_id", "gram", "shiftright(at, 15) AS start", "CAST(at & 127 AS SMALLINT) AS more", "at & 128 <> 0 AS covered", "hot")
+    asked = parted.where("NOT covered").groupBy("doc_id", "part").agg(F.collect_list(F.struct("gram", "start", "more", "hot")).alias("asked"))
     contexts = keyed.join(asked, ["doc_id", "part"]).select("doc_id", "part", "text", "asked")
-    refined = contexts.mapInArrow(_contexts, "gram long, doc_id long, part int, start long, place short, bytes binary").repartition("gram").sortWithinPartitions("gram").mapInArrow(_refined, "doc_id long, part int, start long, end long")
-    whole = parted.where("covered").selectExpr("doc_id", "part", "start", f"start + more + {LENGTH} AS end")
-    return whole.unionByName(refined).groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = parted.where("covered").selectExpr("doc_id", "part", "start", f"start + more + {LENGTH} AS end")
+    spans = spans.unionByName(contexts.mapInArrow(_contexts, "gram long, doc_id long, part int, start long, bytes binary").repartition("gram").sortWithinPartitions("gram").mapInArrow(_refined, "doc_id long, part int, start long, end long"))
+    if parted.where("hot AND NOT covered").limit(1).count():
+        spans = spans.unionByName(_hot_spans(contexts))
+    return spans.groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
-def _spanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with _doc, _part, _text and _spans."""
-    rows, unique = _with_part(docs, id_col, text_col)
-    spans = covered_spans(unique.selectExpr("_doc AS doc_id", "_part AS part", "_text AS text")).selectExpr("doc_id AS _doc", "part AS _part", "spans AS _spans")
-    return rows.join(spans, ["_doc", "_part"], "left")
+def _hot_spans(contexts: DataFrame) -> DataFrame:
+    """doc_id, part, start, end of the hot strings that come earlier: their digests are counted before the shuffle, and the places of the repeated ones dealt by salt."""
+    strings = contexts.where("exists(asked, a -> a.hot)").mapInArrow(_single_strings, "a long, b long, doc_id long, part int, start long")
+    first = strings.groupBy("a", "b").agg(F.min(F.struct("doc_id", "part", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    salted = first.selectExpr("a", "b", "first", f"explode(sequence(0, {SALTS - 1})) AS salt")
+    met = strings.withColumn("salt", F.expr(f"pmod(xxhash64(doc_id, start), {SALTS})")).join(salted, ["a", "b", "salt"])
+    return met.where("struct(doc_id, part, start) <> first").selectExpr("doc_id", "part", "start", f"start + {LENGTH} AS end")
 
 
 def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row of ``docs``; see ``remove_repeats``."""
     # the same three columns as in the search for spans, so that texts are shuffled once
-    rows = _spanned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text").selectExpr(f"nullif(_doc, {LAST_ID}) AS doc_id", "_text", "_spans")
+    parted, unique = _with_part(packed_rows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))))
+    rows = parted.selectExpr("doc AS doc_id", "part", "txt AS text").join(covered_spans(unique), ["doc_id", "part"], "left").selectExpr(f"nullif(doc_id, {LAST_ID}) AS doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "_text"):
+        for batch in blocks(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             kept = [_kept(text, spans) for text, spans in zip(texts, batch.column(2).to_pylist(), strict=True)]
             counts = (pa.array(c, pa.int64()) for c in (list(map(len, texts)), [k[1] for k in kept], [k[2] for k in kept]))
@@ -248,17 +294,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and each such row gets the result; other rows of one doc_id are taken in the order of their texts' hashes. Null
     ids come last. An empty table gives an empty one.
     """
-    spanned = _spanned(docs, id_col, text_col)
-    rows = spanned.select(*(F.col("_text" if c == text_col else c).alias(c) for c in docs.columns), "_spans")
-    schema = docs.schema
+    parted, unique = _with_part(packed_rows(docs, id_col, text_col))
+    spans = covered_spans(unique).withColumnsRenamed({"doc_id": "of_doc", "part": "of_part"})
+    # the text goes once, beside the other columns
+    others = [F.col("row").getField(c).alias(f"c{k}") for k, c in enumerate(docs.columns) if c != text_col]
+    rows = parted.select("doc", "part", "txt", F.struct(F.lit(0).alias("none"), *others).alias("row")).join(spans, F.expr("doc = of_doc AND part = of_part"), "left").select("row", "txt", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, text_col):
-            at = batch.schema.get_field_index(text_col)
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            spans = batch.column(batch.num_columns - 1).to_pylist()
+        for batch in blocks(batches, "txt"):
+            texts, spans = batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()
             kept = pa.array([_kept(t, s)[0].decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)], pa.string())
-            columns = [kept if k == at else batch.column(k) for k in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(columns, [batch.schema.names[k] for k in range(batch.num_columns - 1)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), kept], ["row", "txt"])
 
-    return rows.mapInArrow(run, schema)
+    kept = rows.mapInArrow(run, StructType([rows.schema["row"], rows.schema["txt"]]))
+    return kept.select(*(F.col("txt" if c == text_col else f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)))
