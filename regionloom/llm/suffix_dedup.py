@@ -30,7 +30,7 @@ STARTS = LENGTH - GRAM + 1
 #: Bytes whose anchors are compared with each other before the shuffle, and bytes hashed at once (numpy takes some 100 times these).
 SEGMENT, HASHED = 2 << 20, 256 << 10
 #: Bytes of contexts refined at once (numpy takes some 100 times these), anchors of a bucket that are, and the parts of a hot string's places.
-POOL, BUCKET_ROWS, SALTS = 256 << 10, 1024, 16
+POOL, BUCKET_ROWS, SALTS = 256 << 10, 8192, 16
 LAST_ID = 2**63 - 1
 
 _BYTE_IDS = np.random.default_rng(7).integers(0, 2**64, 256, np.uint64)
@@ -172,8 +172,8 @@ def string_buckets(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
         at = at[at + width + offset <= after[at]]
         own = bucket[at]
         open_ = at[np.bincount(own, minlength=1)[own] > 1]
-        _, fresh = np.unique(np.stack([bucket[open_], bucket[open_ + offset]]), axis=1, return_inverse=True) if len(open_) else (None, open_)
-        bucket[open_] = bucket.max(initial=0) + 1 + fresh.ravel()
+        top = bucket.max(initial=0) + 1  # at most rounds times positions, so that a pair fits into a number
+        bucket[open_] = top + np.unique(bucket[open_] * top + bucket[open_ + offset], return_inverse=True)[1]
         width += offset
     return at, bucket[at]
 
