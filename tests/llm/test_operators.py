@@ -60,6 +60,38 @@ def test_bpe_is_tiktoken(ranks):
         assert bpe.decode(ids, replay.tokens) == text.encode()
 
 
+def test_codecs_cut_long_texts(monkeypatch, ranks):
+    """Texts over a segment, with runs of white space and added tokens, are coded as the libraries code them whole."""
+    monkeypatch.setattr(bpe, "SEGMENT", 60)
+    monkeypatch.setattr(packing, "JOINED", 3)
+    monkeypatch.setattr(packing, "JOINED_PLAIN", 4)
+    codec, _ = bpe.rank_codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    other, tokenizer = packing.tokenizer_codec(P.path("byte_bpe_50k.json")), Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    r = random.Random(9)
+    some = ["".join(r.choice([*ALPHABET, " w", " x1", "\n\n  if", " ", " "]) for _ in range(r.randint(0, 400))) for _ in range(150)]
+    for text, ids, more in zip(some, codec.ids(some), other.ids(some), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == ranks.encode_ordinary(text), text
+        assert np.frombuffer(more, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert np.frombuffer(other.ids(["hello <|endoftext|> world"])[0], "<u4").tolist() == [31373, 220, 50256, 995]
+
+
+def test_replay_of_runs(ranks):
+    """Overlapping places of a pair merge from the left."""
+    _, replay = bpe.rank_codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    words = [c * n for c in ("a", "=", "ab", "aab", "é") for n in range(1, 40)]
+    coded = replay.encode(w.encode() for w in words)
+    assert all(np.frombuffer(coded[w.encode()], "<u4").tolist() == ranks._encode_single_piece(w.encode()) for w in words)
+
+
+def test_all_documents_are_coded_as_by_the_libraries(texts, ranks):
+    codec, replay = bpe.rank_codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    tokenizer, some = Tokenizer.from_file(P.path("byte_bpe_50k.json")), [t or "" for t in texts.values()]
+    for text, ids in zip(some, codec.ids(some), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == ranks.encode_ordinary(text) and bpe.decode(ids, replay.tokens) == text.encode()
+    for coded, ids in zip(tokenizer.encode_batch_fast(some, add_special_tokens=False), packing.tokenizer_codec(P.path("byte_bpe_50k.json")).ids(some), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == coded.ids
+
+
 def test_op1(spark, odd, empty, ranks):
     got = bpe.encode_digests(odd, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).collect()
     assert len(got) == odd.count()
@@ -71,7 +103,6 @@ def test_op1(spark, odd, empty, ranks):
 
 def test_tokenizer_codec():
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     some = [*_noise(400, 2), *(t for t in ODD if t is not None)]
     for text, ids in zip(some, packing.tokenizer_codec(P.path("byte_bpe_50k.json")).ids(some), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
@@ -118,7 +149,6 @@ def test_reduction_keeps_the_optimum():
 
 def test_op2(spark, odd, empty):
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rows = packing.pack_documents(odd, P.path("byte_bpe_50k.json"), capacity=64).collect()
     for doc in (5, 8, 9, 1):
         ids = [*tokenizer.encode(ODD[doc] or "", add_special_tokens=False).ids, 2]
