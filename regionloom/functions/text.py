@@ -18,6 +18,15 @@ def page_key(name: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(base, "^[0-9a-f]{8}-", ""), "[^A-Za-z0-9]+", "_"))
 
 
+def document_key(stem: Column) -> Column:
+    """The document of a page: the name without its page number."""
+    return F.regexp_replace(stem, r"_page\d+$", "")
+
+
+def slug(text: Column) -> Column:
+    return F.replace(F.lower(F.trim(text)), F.lit(" "), F.lit("_"))
+
+
 def letters(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.upper(text), "[^A-Z ]", ""))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionloom.functions import boxes as B
@@ -70,3 +70,31 @@ def hold_one_out(scores: DataFrame) -> DataFrame:
     fit = rest.join(base, "document").where("l * p0 >= l0 * p")
     best = F.min_by(F.struct("candidate", "located", "predictions"), F.struct(-F.col("l"), "candidate"))
     return fit.groupBy("document").agg(best.alias("b")).selectExpr("document", "b.candidate AS chosen", "b.located", "b.predictions")
+
+
+def resolved_by_context(rows: DataFrame, group: list[str], kind: str, ambiguous: dict[str, str]) -> DataFrame:
+    """``rows`` with ``resolved``: an ambiguous class takes its other class where a row of the group carries that on its own."""
+    out = F.col(kind)
+    for name, target in ambiguous.items():
+        there = F.bool_or((F.col(kind) == target) & ~F.col(kind).isin(list(ambiguous))).over(Window.partitionBy(*group))
+        out = F.when((F.col(kind) == name) & there, F.lit(target)).otherwise(out)
+    return rows.withColumn("resolved", out)
+
+
+def deficit_split(sizes: DataFrame, group: str, size: str, ratios: tuple[int, int, int], pinned: list | None = None) -> DataFrame:
+    """The groups and their split: train, val or test.
+
+    Pinned groups are for the test. The others go, the largest first (of equal ones the smaller key), whole, to the split
+    that lacks most items of its share; of equal lacks to the first. Choices hang on all before them, so the table of
+    group sizes, not that of items, is folded in one row. An empty table gives an empty one.
+    """
+    is_pinned = F.col(group).isin(pinned or [])
+    whole = sum(ratios)
+    all_sizes = sizes.select(F.col(group).alias("g"), F.col(size).cast("long").alias("n"), is_pinned.alias("pinned"))
+    row = all_sizes.agg(F.sum("n").alias("t"), F.coalesce(F.sum(F.expr("IF(pinned, n, 0L)")), F.lit(0)).cast("long").alias("p"), F.expr("array_sort(collect_list(IF(pinned, NULL, struct(-n AS n, g))))").alias("gs"))
+    lacks = [f"{r} * t - {whole} * s.{c}" for r, c in zip(ratios, "abc", strict=True)]
+    step = f"IF({lacks[0]} >= greatest({lacks[1]}, {lacks[2]}), 'train', IF({lacks[1]} >= {lacks[2]}, 'val', 'test'))"
+    kind = sizes.schema[group].dataType.simpleString()
+    fold = f"aggregate(gs, struct(0L AS a, 0L AS b, p AS c, CAST(array() AS array<struct<g:{kind},split:string>>) AS done), (s, r) -> transform(array({step}), k -> struct(s.a - IF(k = 'train', r.n, 0L) AS a, s.b - IF(k = 'val', r.n, 0L) AS b, s.c - IF(k = 'test', r.n, 0L) AS c, array_append(s.done, struct(r.g AS g, k AS split)) AS done))[0], s -> s.done)"
+    dealt = row.selectExpr(f"inline({fold})")
+    return dealt.unionByName(all_sizes.where("pinned").selectExpr("g", "'test' AS split")).withColumnRenamed("g", group)
