@@ -28,34 +28,45 @@ PAIRS_OF_PARTS = tuple(itertools.combinations(range(4), 2))
 #: Fingerprints compared within one set of bit planes; larger buckets are first parted by further bits.
 BUCKET_ROWS = 4096
 
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Bytes of a text whose words are held at once.
+PART_BYTES = 256 << 10
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def shingle_hashes(text: bytes, width: int = 3, seed: int = 42) -> list[int]:
-    """XXH64 of each shingle of ``width`` words, repeats included; of the whole sequence if shorter; none without words."""
-    words = text.translate(_LOWER).replace(b"\x0b", b" ").split()  # split() parts at 0x20 and 0x09-0x0D
-    if not words:
-        return []
+def word_parts(text: bytes, size: int) -> Iterator[list[bytes]]:
+    """The words of a text in lower case (A-Z alone), about ``size`` bytes at a time; no word is cut."""
+    at = 0
+    while at < len(text):
+        space = _SPACE.search(text, at + size)
+        end = space.start() if space else len(text)
+        yield text[at:end].translate(_LOWER).replace(b"\x0b", b" ").split()  # split() parts at 0x20 and 0x09-0x0D
+        at = end
+
+
+def shingle_hashes(words: list[bytes], width: int = 3, seed: int = 42) -> list[int]:
+    """XXH64 of each run of ``width`` words, repeats included."""
     line = b" ".join(words)
-    if len(words) <= width:
-        return [xxhash.xxh64_intdigest(line, seed)]
     ends = list(itertools.accumulate(map(len, words)))
     digest = xxhash.xxh64_intdigest
     starts = [0, *(end + k + 1 for k, end in enumerate(ends[: len(words) - width]))]
     return [digest(line[a : b + k], seed) for k, (a, b) in enumerate(zip(starts, ends[width - 1 :]), width - 1)]
 
 
-def fingerprint(text: bytes) -> int:
-    """A bit is 1 if over half of the shingle hashes have it."""
-    hashes = shingle_hashes(text)
-    if not hashes:
-        return 0
-    out = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 8192):
-        part = np.array(hashes[at : at + 8192], "<u8")
-        out += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(out * 2 > len(hashes), bitorder="little").view("<u8")[0])
+def fingerprint(text: bytes, width: int = 3) -> int:
+    """A bit is 1 if over half of the shingle hashes have it; fewer than ``width`` words are one shingle. Long texts are taken in parts."""
+    out, total, words = np.zeros(64, np.int64), 0, []
+    for part in word_parts(text, PART_BYTES):
+        words += part
+        if len(words) >= width:
+            hashes = np.array(shingle_hashes(words, width), "<u8")
+            for at in range(0, len(hashes), 8192):
+                out += np.unpackbits(hashes[at : at + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            total += len(hashes)
+            words = words[1 - width :]
+    if not total:
+        return xxhash.xxh64_intdigest(b" ".join(words), 42) if words else 0
+    return int(np.packbits(out * 2 > total, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,6 +15,8 @@ for _k, _bytes in enumerate(_CLASSES.values()):
     _CLASS_OF[list(_bytes)] = _k
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
+#: Bytes of one long text that are counted at once.
+PART_BYTES = 1 << 20
 STAT_NAMES = (*CLASS_NAMES, "log_bytes", "word_bytes", "distinct_words", "repeated_lines", "line_bytes", "longest_word")
 
 
@@ -25,6 +27,9 @@ def _rows(offsets: np.ndarray) -> np.ndarray:
 def class_shares(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Share of each byte class in each text; zeros for empty ones."""
     n = len(CLASS_NAMES)
+    if len(offsets) == 2 and len(raw) > PART_BYTES:  # one long text, in parts
+        counts = sum(np.bincount(_CLASS_OF[raw[at : at + PART_BYTES]], minlength=n) for at in range(0, len(raw), PART_BYTES))
+        return (counts / len(raw))[None, :]
     counts = np.bincount(_rows(offsets) * n + _CLASS_OF[raw], minlength=(len(offsets) - 1) * n).reshape(-1, n)
     return counts / np.maximum(1, np.diff(offsets))[:, None]
 
@@ -44,6 +49,9 @@ def hashed_bytes(raw: np.ndarray, offsets: np.ndarray, n: int, dims: int) -> np.
     count = len(offsets) - 1
     if len(raw) < n:
         return np.zeros((count, dims), np.float32)
+    if count == 1 and len(raw) > PART_BYTES + n - 1:  # one long text, in parts that overlap by all but a byte of an n-gram
+        parts = (raw[at : at + PART_BYTES + n - 1] for at in range(0, len(raw) - n + 1, PART_BYTES))
+        return sum(hashed_bytes(part, np.array([0, len(part)]), n, dims).astype(np.float64) for part in parts).astype(np.float32)
     low = _LOWER[raw]
     m = len(low) - n + 1
     key = low[:m] * np.uint32(0x9E3779B1)

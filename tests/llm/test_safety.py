@@ -2,10 +2,11 @@
 
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from regionloom.llm import secret_scan, simhash, suffix_dedup, url_filter
+from regionloom.llm import secret_scan, simhash, suffix_dedup, text_stats, url_filter
 
 NAMES = ["row", "doc", "txt", "part", "spans", "hash", "base", "weak", "every", "of_doc", "of_hash", "of_part", "none", "c0", "_id", "_hash", "_text", "_doc", "host", "action", "at", "hit", "bucket", "domain", "nth", "fp", "gram", "BLOCKED", "Matched_Domain"]
 STAGES = {"redact": secret_scan.redact, "near": simhash.without_near_duplicates, "repeats": suffix_dedup.remove_repeats}
@@ -70,3 +71,19 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, other int")
     for stage in STAGES.values():
         assert stage(docs).columns == docs.columns and stage(docs).collect() == []
+
+
+def test_long_texts_in_parts(monkeypatch):
+    """Fingerprints and counts don't hang on the parts that a text is taken in."""
+    texts = [" ".join(f"W{k * k % 97}\t é{k}" for k in range(n)).encode() for n in (0, 1, 2, 3, 200)] + [b"x" * 500, b" \x0b \n"]
+    want = [simhash.fingerprint(t) for t in texts]
+
+    def counted(text):
+        raw, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        return np.concatenate([text_stats.class_shares(raw, offsets).ravel(), *(text_stats.hashed_bytes(raw, offsets, n, 256).ravel() for n in (1, 3))])
+
+    counts = [counted(t) for t in texts]
+    monkeypatch.setattr(simhash, "PART_BYTES", 7)
+    monkeypatch.setattr(text_stats, "PART_BYTES", 5)
+    assert [simhash.fingerprint(t) for t in texts] == want
+    assert all(np.array_equal(counted(t), c) for t, c in zip(texts, counts, strict=True))
