@@ -40,6 +40,12 @@ def cut_at_spaces(text: str) -> list[str]:
     return pieces
 
 
+def safe_space(text: str, at: int) -> int:
+    """The first place from ``at`` with a single space between other characters, or the end."""
+    safe = _SAFE.search(text, at)
+    return safe.start() if safe else len(text)
+
+
 #: Marks a free slot.
 _FREE = np.iinfo(np.int64).min
 
@@ -222,8 +228,7 @@ class TextCodec:
         """A long text's ids, cut at a safe space about every SEGMENT characters."""
         out, at, lead = [], 0, False
         while at < len(text):
-            safe = _SAFE.search(text, at + SEGMENT)
-            end = safe.start() if safe else len(text)
+            end = safe_space(text, at + SEGMENT)
             pieces = cut_at_spaces(text[at:end])
             if not lead:
                 out.append(self.encode_plain(pieces[:1])[pieces[0]])

@@ -23,12 +23,14 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regionloom.llm.bpe import TextCodec
+from regionloom.llm.bpe import SEGMENT, TextCodec, safe_space
 from regionloom.llm.common import blocks, checkpointed, doc_view, shuffle_partitions
 
-_CODECS: dict[str, TextCodec] = {}
+_CODECS: dict[str, TokenizerCodec] = {}
 #: Pieces of text that are joined for one call of the tokenizer, and of the coder by ranks.
 JOINED, JOINED_PLAIN = 50, 2000
+#: Longest piece that the coder by ranks takes, in characters.
+PLAIN_CHARS = 10_000
 #: The split pattern of byte-level tokenizer files (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters whose classes are the same in every version of Unicode.
@@ -61,10 +63,36 @@ def rank_coder(tokenizer) -> tiktoken.Encoding | None:
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks={bytes(map(letters.__getitem__, t)): k for t, k in model["vocab"].items()}, special_tokens={})
 
 
-def tokenizer_codec(path: str) -> TextCodec:
+class TokenizerCodec:
+    """Texts to ids: plain ones whole by ranks where there is a coder by ranks, those with other characters or an added token by pieces."""
+
+    def __init__(self, ranks: tiktoken.Encoding | None, pieces: TextCodec):
+        self.ranks, self.pieces = ranks, pieces
+
+    def _by_ranks(self, text: str) -> bytes | None:
+        if not self.ranks or any(w in text for w in self.pieces.whole) or not _PLAIN.fullmatch(text):
+            return None
+        out, at = [], 0
+        while at < len(text):
+            end = safe_space(text, at + SEGMENT)
+            try:
+                out.append(self.ranks.encode_to_numpy(text[at:end]).astype("<u4", copy=False).tobytes())
+            except ValueError:  # the split pattern gives up on very long white space, as the library's doesn't
+                return None
+            at = end
+        return b"".join(out)
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Of each text, its ids as little-endian unsigned 32-bit integers."""
+        found = [self._by_ranks(t) for t in texts]
+        rest = iter(self.pieces.ids([t for t, ids in zip(texts, found, strict=True) if ids is None]))
+        return [next(rest) if ids is None else ids for ids in found]
+
+
+def tokenizer_codec(path: str) -> TokenizerCodec:
     """The worker's codec around a byte-level tokenizer file of the tokenizers library that splits before single spaces.
 
-    Ids are the library's, added tokens in the text included; plain pieces are coded by ``rank_coder``. A token of a
+    Ids are the library's, added tokens in the text included; plain texts and pieces are coded by ``rank_coder``. A token of a
     byte-level vocabulary is written with a character a byte, so that lengths tell where the pieces of a joined text part.
     """
     if path not in _CODECS:
@@ -89,7 +117,7 @@ def tokenizer_codec(path: str) -> TextCodec:
             return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
         def spaced(pieces: list[str]) -> dict[str, bytes]:
-            plain = [p for p in pieces if p.isascii() and p.isprintable() or _PLAIN.fullmatch(p)] if ranks else []
+            plain = [p for p in pieces if len(p) <= PLAIN_CHARS and (p.isascii() and p.isprintable() or _PLAIN.fullmatch(p))] if ranks else []
             rest = list(set(pieces).difference(plain)) if len(plain) < len(pieces) else []
             return dict(coded(plain, JOINED_PLAIN, lambda texts: map(ranks.encode_ordinary, texts))) | dict(coded(rest, JOINED, by_library))
 
@@ -97,7 +125,7 @@ def tokenizer_codec(path: str) -> TextCodec:
             some = list(set(texts))
             return {t: np.array(ids, "<u4").tobytes() for t, ids in zip(some, by_library(some), strict=True)}
 
-        _CODECS[path] = TextCodec(spaced, whole, tuple(token.content for token in added.values()))
+        _CODECS[path] = TokenizerCodec(ranks, TextCodec(spaced, whole, tuple(token.content for token in added.values())))
     return _CODECS[path]
 
 
