@@ -224,9 +224,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs``, every column, of each component: that of the smallest doc_id, of several with it the least text hash."""
-    named = grouped(docs, id_col, text_col).where("doc_id <=> component_id")
+    return one_of_each(docs, grouped(docs, id_col, text_col), id_col, text_col)
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row of ``docs`` that stays of each component in ``groups`` (doc_id, text_hash, fp, component_id)."""
+    named = groups.where("doc_id <=> component_id")
     # groups of null ids alone share the name null: the fingerprint of a component's rows tells them apart
-    chosen = named.groupBy("component_id", F.expr("IF(component_id IS NULL, fp, NULL)").alias("null_group")).agg(F.min("text_hash").alias("of_hash")).select(F.col("component_id").alias("of_doc"), "of_hash")
-    keyed = packed_rows(docs, id_col, text_col).withColumn("hash", F.xxhash64("txt"))
-    kept = keyed.join(chosen, F.expr("doc <=> of_doc AND hash = of_hash"), "left_semi")
-    return unpacked(kept.selectExpr("row", "row_number() OVER (PARTITION BY doc, hash ORDER BY hash) AS nth").where("nth = 1"), docs.columns)
+    chosen = named.groupBy("component_id", F.expr("IF(component_id IS NULL, fp, NULL)").alias("null_group")).agg(F.min("text_hash").alias("of_hash")).selectExpr("coalesce(component_id, 0) AS k", "component_id IS NULL AS none", "of_hash AS hash").distinct()
+    # one shuffle serves the join and the count: both go by k, none and hash
+    keyed = packed_rows(docs, id_col, text_col).selectExpr("row", "coalesce(doc, 0) AS k", "doc IS NULL AS none", "xxhash64(txt) AS hash")
+    kept = keyed.join(chosen, ["k", "none", "hash"], "left_semi")
+    return unpacked(kept.selectExpr("row", "row_number() OVER (PARTITION BY k, none, hash ORDER BY hash) AS nth").where("nth = 1"), docs.columns)

@@ -1,10 +1,13 @@
 """Each stage of the pipeline on its own input, against a plain version of it."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from regionloom.llm import quality_classifier, secret_scan, simhash
+from regionloom.llm import quality_classifier, secret_scan, similar
 
 DATA = "/root/testdata/sf0.001"
 
@@ -29,15 +32,59 @@ def test_quality_keeps_what_scores_well(spark, docs):
     assert got.columns == docs.columns and _texts(got) == [t for t in _texts(docs) if t[0] in good]
 
 
-def test_one_of_each_group_stays(spark, docs):
-    rows = sorted(set(_texts(docs)))
+def _shingles(text):
+    words = re.findall(r"[^ \t-\r]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def _alike(a, b):
+    return a == b or len(a & b) / len(a | b) >= 0.8
+
+
+def _smallest_of_groups(rows):
     groups = []
     for doc, text in rows:
-        fp = simhash.fingerprint(text.encode())
-        near = [g for g in groups if any((fp ^ other).bit_count() <= 2 for _, other in g)]
-        groups = [g for g in groups if g not in near] + [[(doc, fp), *(m for g in near for m in g)]]
+        found = _shingles(text)
+        near = [g for g in groups if any(_alike(found, other) for _, other in g)]
+        groups = [g for g in groups if g not in near] + [[(doc, found), *(m for g in near for m in g)]]
+    return sorted(min(d for d, _ in g) for g in groups)
+
+
+def _copies(seed, bases, copies, words):
+    """Texts with a share of their words changed, from none to a thirtieth."""
+    random.seed(seed)
+    rows = []
+    for _ in range(bases):
+        base = [f"w{random.randrange(5000)}" for _ in range(words)]
+        for k in range(copies):
+            changed = set(random.sample(range(words), words * k // (30 * copies)))
+            rows.append((len(rows), " ".join(f"x{random.randrange(10**9)}" if i in changed else w for i, w in enumerate(base))))
+    return rows
+
+
+def test_one_of_each_group_stays(spark, docs):
     got = pipeline.drop_near_copies(spark, docs, DATA)
-    assert got.columns == docs.columns and [d for d, _ in _texts(got)] == sorted(min(g)[0] for g in groups)
+    assert got.columns == docs.columns and [d for d, _ in _texts(got)] == _smallest_of_groups(sorted(set(_texts(docs))))
+
+
+@pytest.mark.parametrize("words", [12, 120, 600])
+def test_near_copies_go(spark, words, monkeypatch):
+    rows = [*_copies(7, 30, 8, words), (10_000, None), (10_001, ""), (10_002, "one two"), (10_003, "One  two")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    want = _smallest_of_groups([(d, t or "") for d, t in rows])
+    assert len(want) < len(rows) - 60
+    assert [d for d, _ in _texts(similar.without_similar(table))] == want
+    monkeypatch.setattr(similar, "BUCKET_ROWS", 3)  # cells of large buckets
+    assert [d for d, _ in _texts(similar.without_similar(table))] == want
+
+
+def test_distances_of_planes():
+    random.seed(3)
+    fps = [random.getrandbits(128) & random.getrandbits(128) for _ in range(70)] + [0, (1 << 128) - 1]
+    planes = [sum((fp >> b & 1) << k for k, fp in enumerate(fps)) for b in range(128)]
+    for radius in (1, 8, 35, 63, 64):
+        for fp in fps:
+            assert similar.within(fp, planes, (1 << len(fps)) - 1, radius) == sum(1 << k for k, other in enumerate(fps) if (fp ^ other).bit_count() <= radius)
 
 
 def test_repeats_go(spark, docs):

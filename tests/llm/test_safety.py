@@ -6,10 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from regionloom.llm import secret_scan, simhash, suffix_dedup, text_stats, url_filter
+from regionloom.llm import secret_scan, similar, simhash, suffix_dedup, text_stats, url_filter
 
 NAMES = ["row", "doc", "txt", "part", "spans", "hash", "base", "weak", "every", "of_doc", "of_hash", "of_part", "none", "c0", "_id", "_hash", "_text", "_doc", "host", "action", "at", "hit", "bucket", "domain", "nth", "fp", "gram", "BLOCKED", "Matched_Domain"]
-STAGES = {"redact": secret_scan.redact, "near": simhash.without_near_duplicates, "repeats": suffix_dedup.remove_repeats}
+STAGES = {"redact": secret_scan.redact, "near": simhash.without_near_duplicates, "similar": similar.without_similar, "repeats": suffix_dedup.remove_repeats}
 
 
 @pytest.mark.parametrize("stage", STAGES)
