@@ -78,6 +78,21 @@ def test_near_copies_go(spark, words, monkeypatch):
     assert [d for d, _ in _texts(similar.without_similar(table))] == want
 
 
+def test_forests_join_what_links_join():
+    """In buckets of any size the pairs to check connect whatever pairs within the radius connect."""
+    random.seed(5)
+    for size in (5, 20, 90):
+        bases = [random.getrandbits(128) for _ in range(4)]
+        fps = [random.choice(bases) ^ sum(1 << b for b in random.sample(range(128), random.randrange(15))) for _ in range(size)]
+        pairs = {tuple(sorted(p)) for p in similar.bucket_pairs(fps, 24)}
+        near = {(i, j) for j in range(size) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= 24}
+        assert pairs <= near and (pairs == near or size > similar.PAIR_ROWS)
+        names = list(range(size))
+        for i, j in pairs:
+            names = [names[i] if n == names[j] else n for n in names]
+        assert all(names[i] == names[j] for i, j in near)
+
+
 def test_distances_of_planes():
     random.seed(3)
     fps = [random.getrandbits(128) & random.getrandbits(128) for _ in range(70)] + [0, (1 << 128) - 1]
