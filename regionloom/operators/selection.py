@@ -39,10 +39,15 @@ def numbered_names(rows: DataFrame, kind: str, zone: str, order: list[str]) -> D
 
 
 def merged_intervals(rows: DataFrame, keys: list[str], start: str, end: str, gap: int) -> DataFrame:
-    """keys, start, end, parts: intervals with a gap of at most ``gap`` to what lies before them are one."""
+    """keys, start, end, parts: intervals with a gap of at most ``gap`` to what lies before them are one.
+
+    Both windows name the same columns, so rows are sorted once and equal intervals can't change places in between.
+    """
     by = ", ".join(keys)
-    marked = rows.selectExpr(*keys, f"{start} AS start", f"{end} AS end", f"max({end}) OVER (PARTITION BY {by} ORDER BY {start}, {end} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before")
-    runs = marked.selectExpr("*", f"sum(IF(start <= before + {gap}, 0, 1)) OVER (PARTITION BY {by} ORDER BY start, end ROWS UNBOUNDED PRECEDING) AS run")
+    order = f"PARTITION BY {by} ORDER BY start NULLS LAST, end NULLS LAST ROWS"
+    named = rows.selectExpr(*keys, f"{start} AS start", f"{end} AS end")
+    marked = named.selectExpr("*", f"max(end) OVER ({order} BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before")
+    runs = marked.selectExpr("*", f"sum(IF(start <= before + {gap}, 0, 1)) OVER ({order} UNBOUNDED PRECEDING) AS run")
     return runs.groupBy(*keys, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("parts")).drop("run")
 
 

@@ -47,6 +47,19 @@ def test_quirks(spark):
     assert [r.pos for r in folds.suppress(rows, ["page_id"], 5, strict=True).collect()] == [1, 2, 3]
 
 
+def test_merged_intervals(spark):
+    """Open ends come last, as in the SQL; equal intervals stay in one span however the rows come."""
+    from regionloom.operators import selection
+
+    schema = "page long, s long, e long"
+    open_ended = spark.createDataFrame([(1, 5, 100), (1, 5, None), (1, 200, 210)], schema)
+    assert sorted(map(tuple, selection.merged_intervals(open_ended, ["page"], "s", "e", 10).collect()), key=repr) == [(1, 200, 210, 1), (1, 5, 100, 2)]
+    equal = spark.createDataFrame([(p, s, s + 5) for p in range(50) for s in range(0, 900, 30) for _ in range(3)], schema)
+    got = selection.merged_intervals(equal, ["page"], "s", "e", 10)
+    assert got._jdf.queryExecution().sparkPlan().toString().count("Window [") == 2 and got._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    assert sorted(map(tuple, got.collect())) == [(p, s, s + 5, 3) for p in range(50) for s in range(0, 900, 30)]
+
+
 def test_overlaps_resolved(spark):
     """The less confident of a pair goes and stops comparing; ties keep the earlier; exempt boxes stand aside."""
     from pyspark.sql import functions as F
