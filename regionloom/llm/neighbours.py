@@ -1,254 +1,389 @@
-"""Approximate nearest neighbours: a graph by NN-descent, searched greedily.
-
-Vectors that are the same are one node. The graph starts from short runs of vectors sorted by random sign
-codes of their directions; NN-descent rounds join a node's neighbours (forward and reverse) among each other,
-pairs met before left out, until next to no edge is replaced. A query walks from its own node, in joined rounds
-for all queries: the lists of the nodes in its beam, which carry their neighbours' vectors, are scored against
-it, until its beam holds no node that it hasn't walked from. Beams are doubled until a sample of the queries,
-compared with all nodes, finds enough of its true neighbours, so recall doesn't hang on the size of the table.
-Graph and beam use vectors of one byte a component; what is returned is ranked by exact scores. All groups are
-bounded by the degree, the length of a run or the beam.
+"""Approximate nearest neighbours: graphs by NN-descent over parts of the table, searched greedily.
+
+Vectors that are the same are one node. Nodes are dealt to cells by the nearest of some centres, fitted on a bounded
+sample, and large cells to parts of at most about 2 * PART_ROWS by a hash, so that a part fits a task. There the graph
+starts from short runs of vectors sorted by random sign codes; NN-descent rounds compare each node with the neighbours
+(forward and reverse) of its neighbours, pairs met before left out, until next to no edge is replaced. A query goes to
+the parts of the cells nearest to it, as many as hold enough of the true neighbours of a sample of the queries, all if
+need be. In each it walks from the best of some entries until its beam holds no node that it hasn't walked from; beams
+and entries are doubled until some of the part's queries find enough of the part's own best, so recall hangs neither on
+the size of the table nor on that of a part. Scores are inner products of the original vectors in double precision.
+Vectors are shuffled twice (to find copies, to their parts), queries once for each part that they visit; jobs and what
+the driver holds don't grow with the table, but for a few numbers a cell.
 """
 
 from __future__ import annotations
 
 import math
-import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regionloom.llm.common import checkpointed, shuffle_partitions
 
-DEGREE, TABLES, RUN_ROWS, PER_RUN = 32, 12, 1024, 10
+DEGREE, TABLES, RUN_ROWS, PER_RUN = 32, 8, 128, 12
+#: Rows of a cell on average at most, and at least where a small table is dealt to all shuffle partitions; cells of over twice as many are split.
+PART_ROWS, LEAST_ROWS = 1 << 17, 512
 #: NN-descent ends with the round that replaces at most this share of the edges.
-SETTLED = 0.01
-#: The first width of a beam, how many times that it holds for wider ones, and how many nodes a query walks from in its first round.
-BEAM, HELD, FIRST = 160, 2, 16
-#: Queries whose neighbours are looked for among all nodes, and the share of these that a beam must hold.
-SAMPLE, ENOUGH = 256, 0.92
-#: Queries compared with all nodes at once in the exact mode.
-BLOCK = 4096
+SETTLED = 0.002
+#: Neighbours of each kind, forward and reverse, that are gone through in a round.
+JOINED = 12
+#: The first width of a beam, and how many nodes a query walks from in a round.
+BEAM, FRONT = 64, 4
+#: Queries whose neighbours are looked for among all nodes, the share of these that must lie in the cells visited,
+#: queries of a part that are compared with all of it, and the share of their best that beams must find.
+SAMPLE, ROUTED, TRIED, ENOUGH = 256, 0.97, 64, 0.95
+#: Nodes that the centres of cells are fitted on.
+FITTED = 16_384
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id, v (array of double): no null, empty or zero vectors, nor such with null, NaN or infinite components, nor of a length other than the commonest."""
-    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    """id, v (the array as it was): no null, empty or zero vectors, nor such with null, NaN or infinite components, nor of a length other than the commonest."""
+    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     v = v.where("id IS NOT NULL AND size(v) > 0 AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf')) AND exists(v, x -> x <> 0)")
     sizes = v.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     return v.where(F.size("v") == (sizes[0]["d"] if sizes else 0))
 
 
-def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, dims + 4)
-    return raw[:, 4:].view(np.int8) * np.ascontiguousarray(raw[:, :4]).view(np.float32)
-
-
-def _directions(x: np.ndarray) -> np.ndarray:
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), np.finfo(np.float32).tiny)
-
-
-def _edges(u, v, s) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float32())], ["u", "v", "s"])
-
-
-def _top(sim: np.ndarray, k: int) -> np.ndarray:
-    return np.argpartition(-sim, min(k, sim.shape[1] - 1), axis=1)[:, :k]
-
-
-def packed_nodes(nodes: DataFrame, most: float, dims: int) -> DataFrame:
-    """u and x: the vector divided by the largest length, as a step (float32) and a signed byte a component.
-
-    The graph's similarity of v to u is the inner product of u's direction with v, which ranks u's neighbours
-    as the inner product does, whatever the other lengths in the table.
-    """
+def raw_vectors(rows: DataFrame) -> tuple[DataFrame, np.dtype]:
+    """id and x, the components as bytes, and their type: float32 for an array of float, otherwise float64; -0 is 0."""
+    kind = np.dtype(np.float32 if isinstance(rows.schema["v"].dataType.elementType, T.FloatType) else np.float64)
+    values = rows if kind == np.float32 else rows.withColumn("v", F.col("v").cast("array<double>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims) / most
-            step = np.maximum(np.abs(x).max(axis=1, keepdims=True) / 127, np.finfo(np.float32).tiny).astype(np.float32)
-            raw = np.hstack([step.view(np.uint8), np.rint(x / step).clip(-127, 127).astype(np.int8).view(np.uint8)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in raw], pa.binary())], ["u", "x"])
-
-    return nodes.select("u", "v").mapInArrow(run, "u long, x binary")
-
-
-def first_graph(packed: DataFrame, dims: int, count: int, seed: int = 11) -> DataFrame:
-    """Edges u, v, s from TABLES sortings; within runs of RUN_ROWS every vector is compared with all others, and its PER_RUN best are kept."""
-    bits = max(1, min(24, int(np.log2(max(2, count / RUN_ROWS))) + 3))
-    planes = np.random.default_rng(seed).standard_normal((TABLES, bits + 1, dims)).astype(np.float32)
-
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _directions(_matrix(batch.column(1), dims))
-            for t in range(TABLES):
-                y = x @ planes[t].T
-                code = (y[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(code + (t << 32)), pa.array(y[:, bits]), batch.column(0), batch.column(1)], ["code", "along", "u", "x"])
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def run_edges(rows):
-            u = np.concatenate([r[0] for r in rows])
-            x = np.concatenate([r[1] for r in rows])
-            sim = _directions(x) @ x.T
-            np.fill_diagonal(sim, -2)
-            k = min(PER_RUN, len(u) - 1)
-            best = _top(sim, k)
-            return np.repeat(u, k), u[best].ravel(), np.take_along_axis(sim, best, 1).ravel()
-
-        held, n = [], 0
-        for batch in batches:
-            u, x = batch.column(2).to_numpy(), _matrix(batch.column(3), dims)
-            found = []
-            for at in range(0, len(u), RUN_ROWS):
-                held.append((u[at : at + RUN_ROWS], x[at : at + RUN_ROWS]))
-                n += len(held[-1][0])
-                if n >= RUN_ROWS:
-                    found.append(run_edges(held))
-                    held, n = [], 0
-            if found:
-                yield _edges(*(np.concatenate(p) for p in zip(*found, strict=True)))
-        if n > 1:
-            yield _edges(*run_edges(held))
-
-    sort = packed.mapInArrow(coded, "code long, along float, u long, x binary")
-    parts = max(1, min(4096, count * TABLES // 16_384))
-    return sort.repartitionByRange(parts, "code", "along").sortWithinPartitions("code", "along").mapInArrow(compared, "u long, v long, s float")
-
-
-def best_edges(edges: DataFrame, degree: int = DEGREE) -> DataFrame:
-    """The ``degree`` best distinct neighbours of each node; an edge is fresh if none of its kind isn't."""
-    best = edges.where("u <> v").groupBy("u", "v").agg(F.max("s").alias("s"), F.bool_and("fresh").alias("fresh"))
-    return best.selectExpr("*", "row_number() OVER (PARTITION BY u ORDER BY s DESC, v) AS n").where(f"n <= {degree}").drop("n")
-
-
-def both_ways(graph: DataFrame, degree: int = DEGREE) -> DataFrame:
-    """u, v, fresh: neighbours, and the ``degree`` best of those whose neighbour u is; always within bounds."""
-    reverse = graph.selectExpr("v AS u", "u AS v", "fresh", "row_number() OVER (PARTITION BY v ORDER BY s DESC, u) AS n").where(f"n <= {degree}")
-    return graph.select("u", "v", "fresh").unionByName(reverse.select("u", "v", "fresh")).groupBy("u", "v").agg(F.bool_or("fresh").alias("fresh"))
-
-
-def descend(graph: DataFrame, packed: DataFrame, dims: int) -> DataFrame:
-    """One NN-descent round: the neighbours of each node are joined among each other, but for pairs without a fresh edge; better edges replace worse and are fresh."""
-    worst = graph.groupBy("u").agg(F.min("s").alias("worst"), F.count("*").alias("n")).selectExpr("u AS v", f"IF(n < {DEGREE}, -2, worst) AS worst")
-    far = packed.withColumnRenamed("u", "v").join(worst, "v", "left")
-    around = both_ways(graph).join(far, "v").selectExpr("u", "v", "coalesce(worst, -2) AS worst", "fresh", "x")
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def joined(v, worst, fresh, x):
-            if len(v) < 2 or not fresh.any():
-                return None
-            sim = _directions(x) @ x.T
-            sim[np.ix_(~fresh, ~fresh)] = -2
-            np.fill_diagonal(sim, -2)
-            k = min(12, len(v) - 1)
-            best = _top(sim, k)
-            s = np.take_along_axis(sim, best, 1)
-            ok = s > worst[:, None]
-            return np.repeat(v, k).reshape(-1, k)[ok], v[best][ok], s[ok]
-
-        key, held = None, []
-        for batch in batches:
-            u, v, worst = (batch.column(k).to_numpy() for k in range(3))
-            fresh, x = batch.column(3).to_numpy(zero_copy_only=False), _matrix(batch.column(4), dims)
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(u)) + 1, [len(u)]])
-            found = []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if u[a] != key:
-                    if held:
-                        found.append(joined(*(np.concatenate(p) for p in zip(*held, strict=True))))
-                    key, held = u[a], []
-                held.append((v[a:b], worst[a:b], fresh[a:b], x[a:b]))
-            if found := [f for f in found if f is not None]:
-                yield _edges(*(np.concatenate(p) for p in zip(*found, strict=True)))
-        if held and (last := joined(*(np.concatenate(p) for p in zip(*held, strict=True)))):
-            yield _edges(*last)
+            if batch.num_rows:
+                flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(kind) + kind.type(0)
+                raw = flat.tobytes()
+                step = len(raw) // batch.num_rows
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([raw[at : at + step] for at in range(0, len(raw), step)], pa.binary())], ["id", "x"])
 
-    new = around.repartition("u").sortWithinPartitions("u").mapInArrow(local, "u long, v long, s float")
-    return best_edges(graph.withColumn("fresh", F.lit(False)).unionByName(new.withColumn("fresh", F.lit(True))))
+    return values.select("id", "v").mapInArrow(run, "id long, x binary"), kind
 
 
-def settled_graph(packed: DataFrame, dims: int, count: int) -> DataFrame:
-    """The first graph after as many NN-descent rounds as it takes until one replaces at most SETTLED of the edges."""
-    graph = checkpointed(best_edges(first_graph(packed, dims, count).withColumn("fresh", F.lit(True))))
-    while True:
-        graph = checkpointed(descend(graph, packed, dims))
-        edges = graph.selectExpr("count(*) AS n", "count_if(fresh) AS fresh").first()
-        if edges["fresh"] <= SETTLED * edges["n"]:
-            return graph
+def _matrix(column: pa.Array, kind: np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
-def block_best(some: list, nodes: DataFrame, top: int) -> DataFrame:
-    """k, u, score, n: of each query in ``some`` (q, node, qv), the ``top`` best of all nodes other than its own, n from 1."""
-    own, sought = np.array([r["node"] for r in some]), np.array([r["qv"] for r in some])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, ids = np.full((len(own), 0), -np.inf), np.zeros((len(own), 0), np.int64)
-        for batch in batches:
-            u = batch.column(0).to_numpy()
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, sought.shape[1])
-            for at in range(0, len(u), 2048):
-                some_u = u[at : at + 2048]
-                sim = np.hstack([best, np.where(own[:, None] == some_u, -np.inf, sought @ x[at : at + 2048].T)])
-                every = np.hstack([ids, np.broadcast_to(some_u, (len(own), len(some_u)))])
-                pick = np.lexsort((every, -sim), axis=1)[:, :top] if sim.shape[1] <= top else _top(sim, top)
-                best, ids = np.take_along_axis(sim, pick, 1), np.take_along_axis(every, pick, 1)
-        k, at = np.nonzero(best > -np.inf)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(ids[k, at]), pa.array(best[k, at])], ["k", "u", "score"])
-
-    found = nodes.select("u", "v").mapInArrow(run, "k long, u long, score double")
-    return found.selectExpr("*", "row_number() OVER (PARTITION BY k ORDER BY score DESC, u) AS n").where(f"n <= {top}")
-
-
-def least_scores(queries: DataFrame, nodes: DataFrame, top: int) -> list[tuple[int, float, int]]:
-    """Of SAMPLE queries (q, node, qv): q, the least score among its ``top`` best nodes other than its own, and how many these are."""
-    some = queries.orderBy(F.xxhash64("q", F.lit(3)), "q").limit(SAMPLE).collect()
-    if not some:
-        return []
-    best = block_best(some, nodes, top).groupBy("k").agg(F.min("score").alias("least"), F.count("*").alias("n"))
-    return [(some[r["k"]]["q"], r["least"], r["n"]) for r in best.collect()]
+def _directions(x: np.ndarray) -> np.ndarray:
+    """As float32, lengthened to one; scaled before, so that no square is out of range."""
+    y = (x / np.maximum(np.abs(x).max(axis=1, keepdims=True), np.finfo(x.dtype).tiny)).astype(np.float32)
+    return y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), np.finfo(np.float32).tiny)
 
 
-def every_best(queries: DataFrame, nodes: DataFrame, top: int) -> DataFrame:
-    """q, c for the ``top`` best nodes of every query and its own: all compared, BLOCK queries at a time."""
-    spark = queries.sparkSession
-    blocks = max(1, math.ceil(queries.count() / (BLOCK // 2)))
-    found = queries.selectExpr("q", "node AS c")
-    for b in range(blocks):
-        some = queries.where(F.pmod(F.xxhash64("q", F.lit(5)), F.lit(blocks)) == b).collect()
-        if some:
-            named = spark.createDataFrame([(k, r["q"]) for k, r in enumerate(some)], "k long, q long")
-            found = found.unionByName(checkpointed(block_best(some, nodes, top).join(named, "k").selectExpr("q", "u AS c")))
-    return found
+def _top(score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest of each row, in any order."""
+    k = min(k, score.shape[1])
+    return np.argpartition(-score, k - 1, axis=1)[:, :k] if k else np.zeros((len(score), 0), np.int64)
 
 
-_DOT = "aggregate(zip_with({a}, {b}, (x, y) -> x * y), 0D, (t, p) -> t + p)"
+def _ranked(row: np.ndarray, score: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of entries by row those that are among the ``most`` best of theirs, best first, and the places of these."""
+    order = np.lexsort((-score, row))
+    row = row[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return order[place < most], place[place < most]
 
 
-def neighbour_lists(graph: DataFrame, packed: DataFrame) -> DataFrame:
-    """c and near (w, x): the neighbours of each node, both ways, with their vectors; dealt by c once for all rounds."""
-    lists = both_ways(graph).selectExpr("u AS c", "v AS u").join(packed, "u").groupBy("c").agg(F.collect_list(F.struct(F.col("u").alias("w"), "x")).alias("near"))
-    return checkpointed(lists.repartition(shuffle_partitions(packed), "c"))
+class Graph:
+    """A part's nodes with their nearest neighbours by NN-descent, and greedy walks over them.
 
+    The similarity of v to u is the inner product of u's direction with v, which ranks u's neighbours as the inner product does.
+    """
 
-def scored_lists(walks: DataFrame, dims: int) -> DataFrame:
-    """q, c, score: of walks (q, qx, least, near) the neighbours that score above ``least``."""
+    def __init__(self, x: np.ndarray, seed: int = 11):
+        self.x, self.n = x, len(x)
+        most = np.abs(x).max()
+        self.y = (x / most).astype(np.float32)
+        self.rng = np.random.default_rng(seed)
+        self.ids = np.tile(np.arange(self.n, dtype=np.int32)[:, None], (1, min(DEGREE, max(1, self.n - 1))))  # a node's own number: none
+        self.sims = np.full(self.ids.shape, -np.inf, np.float32)
+        self.fresh = np.zeros(self.ids.shape, bool)
+        self.directions = _directions(x)
+        for _ in range(TABLES):
+            self._sorted_runs()
+        while self.n > 2 and self._round() > SETTLED * self.ids.size:
+            pass
+        self.around = np.hstack([self.ids, self._reverse(DEGREE)[0]])
+        del self.directions, self.sims, self.fresh
+
+    def _merge(self, nodes: np.ndarray, row: np.ndarray, other: np.ndarray, sim: np.ndarray) -> int:
+        """Put (row, other) edges, rows counting within ``nodes``, into the lists where they are better; how many came in."""
+        ok = sim > self.sims[nodes[row], -1]
+        row, other, sim = row[ok], other[ok], sim[ok]
+        ok = other != nodes[row]
+        row, other, sim = row[ok], other[ok], sim[ok]
+        ok = np.ones(len(row), bool)
+        for at in range(0, len(row), 1 << 18):  # those in the list already
+            part = slice(at, at + (1 << 18))
+            ok[part] = ~(self.ids[nodes[row[part]]] == other[part, None]).any(axis=1)
+        key, first = np.unique(row[ok].astype(np.int64) * self.n + other[ok], return_index=True)
+        if not len(key):
+            return 0
+        row, other, sim = row[ok][first], other[ok][first], sim[ok][first]
+        degree = self.ids.shape[1]
+        keep, place = _ranked(row, sim, degree)
+        row, other, sim = row[keep], other[keep], sim[keep]
+        hit, short = np.unique(row, return_inverse=True)
+        new_ids, new_sims = np.zeros((len(hit), degree), np.int32), np.full((len(hit), degree), -np.inf, np.float32)
+        new_ids[short, place], new_sims[short, place] = other, sim
+        own = nodes[hit]
+        ids, sims = np.hstack([self.ids[own], new_ids]), np.hstack([self.sims[own], new_sims])
+        fresh = np.hstack([self.fresh[own], np.ones(new_ids.shape, bool)])
+        order = np.argsort(-sims, axis=1, kind="stable")[:, :degree]
+        came = int(((order >= degree) & (np.take_along_axis(sims, order, 1) > -np.inf)).sum())
+        self.ids[own], self.sims[own], self.fresh[own] = (np.take_along_axis(a, order, 1) for a in (ids, sims, fresh))
+        return came
+
+    def _sorted_runs(self) -> None:
+        """Nodes sorted by random sign codes of their directions; within runs all are compared, and the best of each kept."""
+        bits = max(1, math.ceil(math.log2(max(2, self.n / RUN_ROWS)))) + 2
+        planes = self.rng.standard_normal((bits + 1, self.x.shape[1])).astype(np.float32)
+        side = self.directions @ planes.T
+        order = np.lexsort((side[:, bits], (side[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))))
+        for at in range(0, self.n, RUN_ROWS):
+            run = order[max(0, min(at, self.n - RUN_ROWS)) : at + RUN_ROWS]
+            sim = self.directions[run] @ self.y[run].T
+            np.fill_diagonal(sim, -np.inf)
+            best = _top(sim, min(PER_RUN, len(run) - 1))
+            self._merge(run, np.repeat(np.arange(len(run)), best.shape[1]), run[best].ravel(), np.take_along_axis(sim, best, 1).ravel())
+
+    def _reverse(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each node the ``most`` nearest nodes whose neighbour it is (its own number: none), and whether those edges are fresh."""
+        degree = self.ids.shape[1]
+        ids, fresh = np.tile(np.arange(self.n, dtype=np.int32)[:, None], (1, most)), np.zeros((self.n, most), bool)
+        to, known = self.ids.ravel(), np.flatnonzero(self.sims.ravel() > -np.inf)
+        order = known[np.lexsort((-self.sims.ravel()[known], to[known]))]
+        node = to[order]
+        place = np.arange(len(order)) - np.searchsorted(node, node)
+        ok = place < most
+        ids[node[ok], place[ok]] = order[ok] // degree
+        fresh[node[ok], place[ok]] = self.fresh.ravel()[order[ok]]
+        return ids, fresh
+
+    def _round(self) -> int:
+        """One round of NN-descent; how many edges came in."""
+        back, back_fresh = self._reverse(JOINED)
+        near = np.hstack([self.ids[:, :JOINED], back])
+        near_fresh = np.hstack([self.fresh[:, :JOINED], back_fresh])
+        self.fresh[:, :JOINED] = False
+        came = 0
+        for at in range(0, self.n, 1024):
+            nodes = np.arange(at, min(self.n, at + 1024))
+            via = near[nodes]
+            ok = near_fresh[nodes][:, :, None] | near_fresh[via]
+            far = near[via]
+            row, a, b = np.nonzero(ok & (far != nodes[:, None, None]))
+            if not len(row):
+                continue
+            key = np.unique(row * self.n + far[row, a, b])
+            row, other = key // self.n, key % self.n
+            sim = np.concatenate([np.einsum("ij,ij->i", self.directions[nodes[row[k : k + 65536]]], self.y[other[k : k + 65536]]) for k in range(0, len(row), 65536)])
+            came += self._merge(nodes, row, other, sim)
+        return came
+
+    def scores(self, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Inner products in double precision of each query with its row of nodes."""
+        return np.einsum("id,ijd->ij", queries.astype(np.float64), self.x[at].astype(np.float64), optimize=False)
+
+    def brute(self, queries: np.ndarray, top: int) -> np.ndarray:
+        """Each query's ``top`` best nodes, all compared in double precision, in any order."""
+        best, ids = np.zeros((len(queries), 0)), np.zeros((len(queries), 0), np.int64)
+        wide = queries.astype(np.float64)
+        for at in range(0, self.n, 16_384):
+            x = self.x[at : at + 16_384].astype(np.float64)
+            best = np.hstack([best, wide @ x.T])
+            ids = np.hstack([ids, np.broadcast_to(np.arange(at, at + len(x)), (len(queries), len(x)))])
+            pick = _top(best, top)
+            best, ids = np.take_along_axis(best, pick, 1), np.take_along_axis(ids, pick, 1)
+        return ids
+
+    def walk(self, directions: np.ndarray, width: int, entries: np.ndarray) -> np.ndarray:
+        """Places of the nodes in each query's beam of ``width``, best first, once it holds no open node; -1 for none."""
+        q = len(directions)
+        seen = np.zeros((q, self.n), bool)
+        seen[:, entries] = True
+        first = directions @ self.y[entries].T
+        pick = _top(first, width)
+        ids, score = np.full((q, width), -1, np.int64), np.full((q, width), -np.inf, np.float32)
+        ids[:, : pick.shape[1]], score[:, : pick.shape[1]] = entries[pick], np.take_along_axis(first, pick, 1)
+        is_open = ids >= 0
+        order = np.argsort(-score, axis=1, kind="stable")
+        ids, score, is_open = (np.take_along_axis(a, order, 1) for a in (ids, score, is_open))
+        while len(live := np.flatnonzero(is_open.any(axis=1))):
+            some = is_open[live]
+            some &= np.cumsum(some, axis=1) <= FRONT
+            row, at = np.nonzero(some)
+            row = live[row]
+            is_open[row, at] = False
+            far = self.around[ids[row, at]]
+            key = np.unique((row[:, None] * self.n + far).ravel())
+            key = key[~seen.ravel()[key]]
+            seen.ravel()[key] = True
+            row, node = key // self.n, key % self.n
+            new = np.einsum("ij,ij->i", directions[row], self.y[node])
+            ok = new > score[row, -1]
+            row, node, new = row[ok], node[ok], new[ok]
+            if not len(row):
+                continue
+            hit, short = np.unique(row, return_inverse=True)
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            more_ids, more = np.full((len(hit), place.max() + 1), -1, np.int64), np.full((len(hit), place.max() + 1), -np.inf, np.float32)
+            more_ids[short, place], more[short, place] = node, new
+            all_score = np.hstack([score[hit], more])
+            order = np.argsort(-all_score, axis=1, kind="stable")[:, :width]
+            ids[hit] = np.take_along_axis(np.hstack([ids[hit], more_ids]), order, 1)
+            is_open[hit] = np.take_along_axis(np.hstack([is_open[hit], more_ids >= 0]), order, 1)
+            score[hit] = np.take_along_axis(all_score, order, 1)
+        return ids
+
+    def searcher(self, tried: np.ndarray, top: int) -> Callable[[np.ndarray], np.ndarray]:
+        """A function from queries to the nodes found for each, -1 for none; beams and entries are wide enough for the queries ``tried``."""
+        mixed = self.rng.permutation(self.n)
+        directions, true = _directions(tried), self.brute(tried, top)
+        true_scores = self.scores(tried, true)
+        least = true_scores.min(axis=1, keepdims=True)
+        width, entries = max(BEAM, 2 * top), max(256, 4 * BEAM)
+        while True:
+            found = self.walk(directions, min(width, self.n), mixed[:entries])
+            got = np.where(found >= 0, self.scores(tried, found), -np.inf)
+            if (got >= least - 1e-12 * np.abs(least)).sum() >= ENOUGH * true.size or width >= self.n:
+                break
+            width, entries = 2 * width, 2 * entries
+        return lambda queries: self.walk(_directions(queries), min(width, self.n), mixed[:entries])
+
+
+def centres_of(nodes: DataFrame, count: int, cells: int, kind: np.dtype) -> np.ndarray:
+    """Directions of the centres of cells, by k-means on a sample of at most about FITTED nodes."""
+    some = nodes.where(F.pmod(F.xxhash64("u", F.lit(17)), F.lit(1_000_000)) < math.ceil(FITTED / count * 1_000_000)).select("x").limit(2 * FITTED)
+    y = _directions(_matrix(some.toArrow()["x"].combine_chunks(), kind))
+    if cells == 1 or len(y) < cells:
+        return y[:1] if len(y) else np.ones((1, 1), np.float32)
+    centres = y[np.random.default_rng(5).choice(len(y), cells, replace=False)]
+    for _ in range(8):
+        near = (y @ centres.T).argmax(axis=1)
+        total = np.zeros_like(centres)
+        np.add.at(total, near, y)
+        centres = np.where(np.abs(total).max(axis=1, keepdims=True) > 0, total, centres)
+        centres = _directions(centres)
+    return centres
+
+
+def true_cells(some: np.ndarray, nodes: DataFrame, top: int, centres: np.ndarray, kind: np.dtype) -> DataFrame:
+    """k, cell: of each query in ``some`` the cells of its ``top`` best nodes, all compared."""
+    wide = some.astype(np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, ids, cells = np.zeros((len(some), 0)), np.zeros((len(some), 0), np.int64), np.zeros((len(some), 0), np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                x = _matrix(part.column(1), kind)
+                best = np.hstack([best, wide @ x.astype(np.float64).T])
+                ids = np.hstack([ids, np.broadcast_to(part.column(0).to_numpy(), (len(some), len(x)))])
+                cells = np.hstack([cells, np.broadcast_to((_directions(x) @ centres.T).argmax(axis=1), (len(some), len(x)))])
+                pick = _top(best, top)
+                best, ids, cells = (np.take_along_axis(a, pick, 1) for a in (best, ids, cells))
+        k = np.repeat(np.arange(len(some)), best.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(ids.ravel()), pa.array(best.ravel()), pa.array(cells.ravel())], ["k", "u", "score", "cell"])
+
+    found = nodes.select("u", "x").mapInArrow(run, "k long, u long, score double, cell long")
+    return found.selectExpr("*", "row_number() OVER (PARTITION BY k ORDER BY score DESC, u) AS n").where(f"n <= {top}").select("k", "cell")
+
+
+def cells_needed(sought: DataFrame, nodes: DataFrame, top: int, centres: np.ndarray, kind: np.dtype) -> int:
+    """In how many of the cells nearest to a query ROUTED of the true neighbours of SAMPLE queries lie."""
+    if len(centres) == 1:
+        return 1
+    some = sought.orderBy(F.xxhash64("rep", F.lit(3)), "rep").limit(SAMPLE).select("x").toArrow()["x"].combine_chunks()
+    if not len(some):
+        return 1
+    x = _matrix(some, kind)
+    found = true_cells(x, nodes, top, centres, kind).toArrow()
+    rank = np.argsort(np.argsort(-(_directions(x) @ centres.T), axis=1, kind="stable"), axis=1)[found["k"].to_numpy(), found["cell"].to_numpy()]
+    return int(np.quantile(rank, ROUTED, method="higher")) + 1
+
+
+def own_partitions(nodes: DataFrame, count: int) -> list[int]:
+    """A key for each of ``count`` parts, such that a partition by hash gets one each."""
+    slots = nodes.sparkSession.range(16 * count + 64).selectExpr("CAST(id AS INT) AS id").selectExpr("id", f"pmod(hash(id), {count}) AS slot")
+    keys = [r["id"] for r in slots.groupBy("slot").agg(F.min("id").alias("id")).orderBy("slot").collect()]
+    return keys + list(range(16 * count + 64, 17 * count + 64 - len(keys)))
+
+
+def found_in_parts(nodes: DataFrame, sought: DataFrame, top: int, kind: np.dtype, count: int, exact: bool) -> DataFrame:
+    """rep, c, score: of each query (rep, x) the best nodes (u, x) of the parts that it visits, top + 1 of each."""
+    rows = min(PART_ROWS, max(LEAST_ROWS, math.ceil(count / shuffle_partitions(nodes))))
+    centres = centres_of(nodes, count, max(1, count // rows), kind)
+
+    def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                cell = (_directions(_matrix(part.column(1), kind)) @ centres.T).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(cell.astype(np.int32))], ["id", "x", "cell"])
+
+    dealt = nodes.selectExpr("u AS id", "x").mapInArrow(celled, "id long, x binary, cell int")
+    sizes = np.zeros(len(centres), np.int64)
+    for r in dealt.groupBy("cell").count().collect():
+        sizes[r["cell"]] = r["count"]
+    parts = np.maximum(1, -(-sizes // (2 * rows)))
+    starts = np.cumsum(parts) - parts
+    keys = own_partitions(nodes, int(parts.sum()))
+    visits = len(centres) if exact else cells_needed(sought, nodes, top, centres, kind)
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                near, sizes = part.column(3).flatten(), pa.compute.list_value_length(part.column(3)).to_numpy()
-                row = np.repeat(np.arange(part.num_rows), sizes)
-                score = np.einsum("ij,ij->i", _matrix(part.column(1), dims)[row], _matrix(near.field(1), dims))
-                ok = score > part.column(2).to_numpy()[row]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row[ok])), pa.array(near.field(0).to_numpy()[ok]), pa.array(score[ok])], ["q", "c", "score"])
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                near = _top(_directions(_matrix(some.column(1), kind)) @ centres.T, visits)
+                for cell in np.unique(near):
+                    who = pa.array(np.flatnonzero((near == cell).any(axis=1)))
+                    for part in range(starts[cell], starts[cell] + parts[cell]) if sizes[cell] else ():
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), keys[part], np.int32)), pa.array(np.full(len(who), True)), some.column(0).take(who), some.column(1).take(who)], ["part", "query", "id", "x"])
+
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, find, ids, graph = None, [], None, None, None
+
+        def answers(queries: np.ndarray, reps: pa.Array) -> pa.RecordBatch:
+            places = graph.brute(queries, top + 1) if exact else find(queries)[:, : 2 * top + 1]
+            score = np.where(places >= 0, graph.scores(queries, places), -np.inf)
+            order = np.lexsort((ids[places], -score), axis=1)[:, : top + 1]
+            places, score = np.take_along_axis(places, order, 1), np.take_along_axis(score, order, 1)
+            row, at = np.nonzero(score > -np.inf)
+            return pa.RecordBatch.from_arrays([reps.take(pa.array(row)), pa.array(ids[places[row, at]]), pa.array(score[row, at])], ["rep", "c", "score"])
 
-    return walks.select("q", "qx", "least", "near").mapInArrow(run, "q long, c long, score float")
+        for batch in batches:
+            keys = batch.column(0).to_numpy().astype(np.int64) * 2 + batch.column(1).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                some = batch.slice(a, b - a)
+                if b > a and keys[a] % 2 == 0:
+                    if keys[a] // 2 != part:
+                        part, held, find, graph = keys[a] // 2, [], None, None
+                    held.append((some.column(2).to_numpy(), _matrix(some.column(3), kind)))
+                elif b > a:
+                    x = _matrix(some.column(3), kind)
+                    if held:
+                        ids, rows_x = (np.concatenate(c) for c in zip(*held, strict=True))
+                        held = []
+                        graph = Graph(rows_x) if not exact else Graph.__new__(Graph)
+                        graph.x, graph.n = rows_x, len(rows_x)
+                        find = None if exact else graph.searcher(x[:TRIED], min(top + 1, graph.n))
+                    step = max(1, min(256, (64 << 20) // len(ids)))
+                    for at in range(0, len(x), step):
+                        yield answers(x[at : at + step], some.column(2).slice(at, step))
+
+    of_cells = [f"element_at(array({', '.join(map(str, c))}), {{}})" for c in (starts, parts, keys)]
+    place = f"{of_cells[0].format('cell + 1')} + CAST(pmod(xxhash64(id), {of_cells[1].format('cell + 1')}) AS INT) + 1"
+    vectors = dealt.selectExpr(f"{of_cells[2].format(place)} AS part", "FALSE AS query", "id", "x")
+    both = vectors.unionByName(sought.select("rep", "x").mapInArrow(sent, "part int, query boolean, id long, x binary"))
+    # nodes of a part in one task, then the queries sent there
+    return both.repartition(int(parts.sum()), "part").sortWithinPartitions("part", "query", "id").mapInArrow(searched, "rep long, c long, score double")
 
 
 def search(vectors: DataFrame, top: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", exact: bool = False) -> DataFrame:
@@ -257,80 +392,25 @@ def search(vectors: DataFrame, top: int = 20, every: int = 20, id_col: str = "ve
     Nearness is the largest inner product in double precision, ties go to the smaller id. A row is no neighbour of
     itself. Of a repeated id with the same vector one row counts; rows that can't be compared (see ``usable``) take no part. With
     at most ``top`` others all are returned; an empty table gives an empty result. ``exact`` compares every query with
-    all rows, in blocks, instead of walking the graph.
+    all rows of all parts instead of walking the graphs. Copies are known by 128 bits of hashes.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
-    # of the same vectors the top + 1 smallest ids can be in a result; a row number up to a limit is cut before the shuffle
-    distinct = checkpointed(rows.selectExpr("id", "v", "xxhash64(v) AS h").distinct())
-    members = checkpointed(distinct.selectExpr("id", "v", "row_number() OVER (PARTITION BY h, v ORDER BY id) AS n", "1 AS one").where(f"n <= {top + 1}").drop("one"))
-    nodes = checkpointed(members.where("n = 1").selectExpr("id AS u", "v"))
-    shape = nodes.selectExpr("count(*) AS n", "max(size(v)) AS d", f"sqrt(max({_DOT.format(a='v', b='v')})) AS m").first()
-    if not shape["n"]:
+    rows, kind = raw_vectors(usable(vectors, id_col, vector_col))
+    rows = rows.selectExpr("id", "x", "xxhash64(x) AS g", "xxhash64(7, x) AS h")
+    nodes = checkpointed(rows.groupBy("g", "h", "x").agg(F.min("id").alias("u"), F.min(F.expr(f"IF(id % {every} = 0, id, NULL)")).alias("rep"), F.count("*").alias("n")))
+    count = nodes.count()
+    if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    members = members.alias("m").join(nodes.selectExpr("u AS node", "v AS nv", "xxhash64(v) AS h").alias("k"), F.expr("xxhash64(m.v) = k.h AND m.v = k.nv")).selectExpr("node", "m.id AS member")
-    members = checkpointed(members)
-    queries = checkpointed(distinct.where(f"id % {every} = 0").alias("q").join(nodes.selectExpr("u AS node", "v AS nv", "xxhash64(v) AS h").alias("k"), F.expr("q.h = k.h AND q.v = k.nv")).selectExpr("q.id AS q", "node", "q.v AS qv"))
-
-    def rescored(pairs: DataFrame) -> DataFrame:
-        """q, c and the exact score of pairs."""
-        return pairs.join(queries.select("q", "qv"), "q").join(nodes.withColumnRenamed("u", "c"), "c").select("q", "c", F.expr(_DOT.format(a="qv", b="v")).alias("score"))
-
-    found = every_best(queries, nodes, top) if exact else _walked_beams(queries, nodes, rescored, top, shape)
-    best = rescored(found).join(members, F.col("c") == F.col("node")).where("q <> member")
-    ranked = best.selectExpr("q AS query_id", "member AS vec_id", "score", "CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, member) AS INT) AS rank")
+    # of the same vectors the top + 1 smallest ids can be in a result; a row number up to a limit is cut before the shuffle
+    copied = nodes.where("n > 1").select("g", "h", "u", "rep")
+    copies = checkpointed(rows.select("id", "g", "h").join(copied, ["g", "h"]).select("id", "u", "rep").distinct())
+    members = copies.selectExpr("u AS c", "id AS member", "row_number() OVER (PARTITION BY u ORDER BY id) AS n").where(f"n <= {top + 1}").drop("n")
+    sought = nodes.where("rep IS NOT NULL").select("rep", "x")
+    found = found_in_parts(nodes, sought, top, kind, count, exact)
+    best = found.selectExpr("*", "row_number() OVER (PARTITION BY rep ORDER BY score DESC, c) AS n").where(f"n <= {top + 1}").drop("n")
+    each = best.join(members, "c", "left").selectExpr("rep", "coalesce(member, c) AS member", "score")
+    near = each.selectExpr("*", "row_number() OVER (PARTITION BY rep ORDER BY score DESC, member) AS n").where(f"n <= {top + 1}").drop("n")
+    asked = copies.where(f"id % {every} = 0").selectExpr("rep", "id AS q")
+    named = near.join(asked, "rep", "left").selectExpr("coalesce(q, rep) AS q", "member", "score").where("q <> member")
+    ranked = named.selectExpr("q AS query_id", "member AS vec_id", "score", "CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, member) AS INT) AS rank")
     return ranked.where(f"rank <= {top}").select("query_id", "rank", "vec_id", "score")
-
-
-def _walked_beams(queries: DataFrame, nodes: DataFrame, rescored, top: int, shape) -> DataFrame:
-    """q, c: the nodes found for each query (q, node, qv), twice ``top`` and its own, by greedy search."""
-    spark, dims = queries.sparkSession, shape["d"]
-    packed = checkpointed(packed_nodes(nodes, float(shape["m"]), dims))
-    graph = settled_graph(packed, dims, shape["n"])
-    lists = neighbour_lists(graph, packed)
-    sought = checkpointed(queries.select("q", "node").join(packed.selectExpr("u AS node", "x AS qx"), "node").select("q", "node", "qx"))
-
-    def cut(found: DataFrame, held: int) -> DataFrame:
-        best = found.groupBy("q", "c").agg(F.max("score").alias("score"), F.bool_and("open").alias("open"))
-        return best.selectExpr("*", "row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS place").where(f"place <= {held}")
-
-    def walked(beam: DataFrame, width: int, held: int, first: int) -> DataFrame:
-        # what is cut from a beam is worse than all it ever holds again, so no node is walked from twice
-        while beam.where(f"open AND place <= {first}").limit(1).count():
-            full = beam.where(f"place = {held}").select("q", F.col("score").alias("least"))
-            chosen = beam.where(f"open AND place <= {first}").select("q", "c").join(sought, "q").join(full, "q", "left").selectExpr("q", "c", "qx", "coalesce(least, CAST('-inf' AS FLOAT)) AS least")
-            new = scored_lists(chosen.join(lists, "c"), dims).withColumn("open", F.lit(True))
-            kept = beam.selectExpr("q", "c", "score", f"open AND place > {first} AS open")
-            beam = checkpointed(cut(kept.unionByName(new), held))
-            first = width
-        return beam
-
-    least = least_scores(queries, nodes, top)
-    wanted = spark.createDataFrame(least, "q long, least double, n long")
-
-    def recall(beam: DataFrame) -> float:
-        some = beam.where(f"place <= {2 * top + 1}").select("q", "c").join(F.broadcast(wanted.select("q")), "q")
-        hits = rescored(some).join(queries.select("q", "node"), "q").where("c <> node").join(F.broadcast(wanted), "q").where("score >= least - 1e-12 * abs(least)")
-        found = hits.groupBy("q").agg(F.least(F.count("*"), F.max("n")).alias("n")).agg(F.sum("n").alias("n")).first()["n"] or 0
-        return found / max(1, sum(n for _, _, n in least))
-
-    # a query's own list is known with its scores from the graph; of its own node only the list is of use
-    known = graph.selectExpr("u AS node", "v AS c", "s AS score").join(sought.select("q", "node"), "node").selectExpr("q", "c", "CAST(NULL AS FLOAT) AS score", "TRUE AS open")
-    start = known.join(sought.select("q", "qx"), "q").join(packed.selectExpr("u AS c", "x"), "c")
-    seeds = scored_lists(start.selectExpr("q", "qx", "CAST('-inf' AS FLOAT) AS least", "array(struct(c AS w, x)) AS near"), dims).withColumn("open", F.lit(True))
-    own = sought.join(packed.selectExpr("u AS node", "x"), "node").selectExpr("q", "qx", "CAST('-inf' AS FLOAT) AS least", "array(struct(node AS w, x)) AS near")
-    width = max(BEAM, 4 * top)
-    held = HELD * width
-    beam = checkpointed(cut(seeds.unionByName(scored_lists(own, dims).withColumn("open", F.lit(True))), held))
-    beam = walked(beam, width, held, FIRST)
-    while least and (share := recall(beam)) < ENOUGH:
-        if not beam.where(f"place > {width}").limit(1).count():
-            warnings.warn(f"only {share:.2f} of the neighbours of sampled queries can be reached", stacklevel=2)
-            break
-        width *= 2
-        if width > held:
-            # nodes walked from may lead to nodes that there was no room for
-            held *= HELD
-            beam = checkpointed(beam.withColumn("open", F.lit(True)))
-        beam = walked(beam, width, held, width)
-    return beam.where(f"place <= {2 * top + 1}").select("q", "c")

@@ -282,6 +282,23 @@ def test_op4_one_long_vector(spark):
     assert _recall(spark, x, 50) >= 0.9
 
 
+def test_op4_few_jobs(spark):
+    """The number of jobs is fixed, in either mode, so the driver's memory doesn't follow rounds; the exact mode gives what brute force gives."""
+    x = _directions(3000, 23)
+    docs = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    y, sc = x.astype(float), spark.sparkContext
+    for exact in (False, True):
+        sc.setJobGroup(f"op4 {exact}", "")
+        got = neighbours.search(docs, every=100, exact=exact).collect()
+        jobs = sc.statusTracker().getJobIdsForGroup(f"op4 {exact}")
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        assert len(got) == 30 * 20 and 0 < len(jobs) < 60
+    for q in range(0, 3000, 100):
+        score = y @ y[q]
+        score[q] = -np.inf
+        assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == np.lexsort((np.arange(3000), -score))[:20].tolist()
+
+
 def test_op5(spark, odd, empty):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language_id.fit(docs)
