@@ -5,13 +5,14 @@ n - ceil(similarity * n) + 1 shingles, in any order fixed for all, with the othe
 buckets, taken in order of rising counts so that passages which many documents share come last.
 Counts are kept by slots of the hash, a fixed number, over all documents. Within a bucket 128-bit
 fingerprints stand as vertical bit planes, and carry-save counters abandon what is beyond the
-radius. Pairs that are left, or a few spanning forests of a larger bucket, are checked exactly.
+radius. Pairs that are left are checked exactly; of a larger bucket a few spanning forests first, then
+every pair that the links found so far don't join.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ WIDTH, SIMILARITY = 5, 0.8
 BITS = 128
 #: Slots of the hash whose shingles are counted together, and slots of the filter of texts: both of fixed size.
 COUNT_BITS, FILTER_BITS = 17, 18
-#: Buckets up to this many sets have all their near pairs checked; larger ones spanning forests, at rising radii.
+#: Buckets up to this many sets have all their near pairs checked; larger ones spanning forests, at rising radii, and then what these leave apart.
 PAIR_ROWS = 32
 FORESTS = 8
 #: Sets compared in one task; the rows of larger buckets are dealt to cells, two parts in each.
@@ -104,14 +105,14 @@ def forest(fps: list[int], planes: list[int], radius: int) -> list[tuple[int, in
     return links
 
 
-def bucket_pairs(fps: list[int], radius: int) -> list[tuple[int, int]]:
+def bucket_pairs(fps: list[int], radius: int, forests: int = FORESTS) -> list[tuple[int, int]]:
     """Pairs of places to check: all within the radius in a small bucket, of a larger one forests at rising radii."""
     if len(fps) <= 8:
         return [(i, j) for j in range(len(fps)) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= radius]
     bits = np.unpackbits(np.frombuffer(b"".join(f.to_bytes(BITS // 8, "little") for f in fps), np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")
     planes = [int.from_bytes(p.tobytes(), "little") for p in np.packbits(bits.T, axis=1, bitorder="little")]
     if len(fps) > PAIR_ROWS:
-        radii = sorted({radius * k // FORESTS for k in range(1, FORESTS + 1)})
+        radii = sorted({radius * k // forests for k in range(1, forests + 1)})
         return list({pair for r in radii for pair in forest(fps, planes, r)})
     out = []
     for i, fp in enumerate(fps):
@@ -170,34 +171,16 @@ def _dealt(classes: DataFrame) -> DataFrame:
     return classes.select("node", "low", "high", "lead").mapInArrow(run, "bucket long, node long, low long, high long")
 
 
-def candidates(classes: DataFrame, radius: int) -> DataFrame:
-    """Pairs (a, b) of nodes to check, once each."""
-    dealt = _dealt(classes)
-    heavy = checkpointed(dealt.groupBy("bucket").count().where(f"count > {BUCKET_ROWS}").selectExpr("bucket", f"CAST(ceil(count / {BUCKET_ROWS}) AS INT) AS parts"))
-    if heavy.limit(1).count():
-        # every two parts of a large bucket meet in one cell
-        hot = dealt.join(heavy, "bucket").selectExpr("*", "CAST(pmod(xxhash64(node), parts) AS INT) AS own").selectExpr("*", "explode(sequence(0, parts - 1)) AS other")
-        cells = hot.selectExpr("xxhash64(bucket, least(own, other), greatest(own, other)) AS bucket", "node", "low", "high")
-        dealt = dealt.join(heavy, "bucket", "left_anti").unionByName(cells)
-
-    def found(keys: np.ndarray, nodes: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
-        ends = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys))
-        starts = np.append(0, ends[:-1])
-        some = ends - starts > 1
-        pairs = []
-        for start, end in zip(starts[some].tolist(), ends[some].tolist(), strict=True):
-            fps = [x | y << 64 for x, y in zip(low[start:end].tolist(), high[start:end].tolist(), strict=True)]
-            pairs += [(start + i, start + j) for i, j in bucket_pairs(fps, radius)]
-        at = np.array(pairs, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(nodes[at].min(axis=1)), pa.array(nodes[at].max(axis=1))], ["a", "b"])
+def _by_bucket(rows: DataFrame, columns: list[str], schema: str, found: Callable[..., pa.RecordBatch]) -> DataFrame:
+    """What ``found`` makes of the columns of whole buckets (long, those of fingerprints unsigned), sorted by bucket and node."""
+    kinds = [np.uint64 if c in ("low", "high") else np.int64 for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64)]
+        held = [np.zeros(0, t) for t in kinds]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(k).to_numpy() for k in range(4)]
-            held = [np.concatenate([h, c.view(h.dtype)]) for h, c in zip(held, columns, strict=True)]
+            held = [np.concatenate([h, batch.column(k).to_numpy().view(h.dtype)]) for k, h in enumerate(held)]
             cut = int(np.searchsorted(held[0], held[0][-1]))  # the last bucket may go on in the next batch
             if cut:
                 yield found(*(h[:cut] for h in held))
@@ -205,7 +188,85 @@ def candidates(classes: DataFrame, radius: int) -> DataFrame:
         if len(held[0]):
             yield found(*held)
 
-    return dealt.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "a long, b long").distinct()
+    return rows.select(*columns).repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, schema)
+
+
+def _spans(keys: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run of equal keys of more than one row."""
+    ends = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys))
+    starts = np.append(0, ends[:-1])
+    some = ends - starts > 1
+    return list(zip(starts[some].tolist(), ends[some].tolist(), strict=True))
+
+
+def _fingerprints(low: np.ndarray, high: np.ndarray) -> list[int]:
+    return [x | y << 64 for x, y in zip(low.tolist(), high.tolist(), strict=True)]
+
+
+def candidates(classes: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of nodes to check, once each, and the rows (bucket, node, low, high) of buckets that gave forests only."""
+    dealt = _dealt(classes)
+    heavy = checkpointed(dealt.groupBy("bucket").count().where(f"count > {BUCKET_ROWS}").selectExpr("bucket", f"CAST(ceil(count / {BUCKET_ROWS}) AS INT) AS parts"))
+    if heavy.limit(1).count():
+        # every two parts of a large bucket meet in one cell
+        hot = dealt.join(heavy, "bucket").selectExpr("*", "CAST(pmod(xxhash64(node), parts) AS INT) AS own").selectExpr("*", "explode(sequence(0, parts - 1)) AS other")
+        cells = hot.selectExpr("xxhash64(bucket, least(own, other), greatest(own, other)) AS bucket", "node", "low", "high")
+        dealt = dealt.join(heavy, "bucket", "left_anti").unionByName(cells)
+
+    forests = FORESTS
+
+    def found(keys: np.ndarray, nodes: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
+        pairs, large = [], np.zeros(len(keys), bool)
+        for start, end in _spans(keys):
+            near = bucket_pairs(_fingerprints(low[start:end], high[start:end]), radius, forests)
+            pairs += [(start + i, start + j) for i, j in near]
+            # a forest of all pairs leaves none
+            large[start:end] = end - start > PAIR_ROWS and len(near) < (end - start) * (end - start - 1) // 2
+        at = nodes[np.array(pairs, np.int64).reshape(-1, 2)]
+        none = np.zeros(len(at), np.int64)
+        columns = [(at.min(axis=1), keys), (at.max(axis=1), nodes), (none, low.view(np.int64)), (none, high.view(np.int64))]
+        arrays = [pa.array(np.concatenate([pair, row[large]])) for pair, row in columns]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(np.arange(len(arrays[0])) >= len(at))], ["a", "b", "low", "high", "large"])
+
+    both = checkpointed(_by_bucket(dealt, ["bucket", "node", "low", "high"], "a long, b long, low long, high long, large boolean", found).distinct())
+    return both.where("NOT large").select("a", "b"), both.where("large").selectExpr("a AS bucket", "b AS node", "low", "high")
+
+
+def parted_pairs(fps: list[int], groups: list[int], radius: int) -> list[tuple[int, int]]:
+    """All pairs of places within the radius whose groups differ."""
+    if len(set(groups)) < 2:
+        return []
+    planes = [0] * BITS
+    own = dict.fromkeys(groups, 0)
+    for k, (fp, group) in enumerate(zip(fps, groups, strict=True)):
+        own[group] |= 1 << k
+        while fp:
+            planes[(fp & -fp).bit_length() - 1] |= 1 << k
+            fp &= fp - 1
+    out, after = [], (1 << len(fps)) - 1
+    for i, (fp, group) in enumerate(zip(fps, groups, strict=True)):
+        after &= ~(1 << i)
+        near = within(fp, planes, alive, radius) if (alive := after & ~own[group]) else 0
+        while near:
+            out.append((i, (near & -near).bit_length() - 1))
+            near &= near - 1
+    return out
+
+
+def rest(large: DataFrame, found: DataFrame, pairs: DataFrame, radius: int) -> DataFrame:
+    """The pairs (a, b) of large buckets that no checked link joins (found: node, component) and that weren't checked yet, every one."""
+    named = large.join(found, "node", "left").selectExpr("bucket", "node", "low", "high", "coalesce(component, node) AS component")
+
+    def cross(keys: np.ndarray, nodes: np.ndarray, low: np.ndarray, high: np.ndarray, component: np.ndarray) -> pa.RecordBatch:
+        out = []
+        for start, end in _spans(keys):
+            if (component[start:end] != component[start]).any():
+                near = parted_pairs(_fingerprints(low[start:end], high[start:end]), component[start:end].tolist(), radius)
+                out += [(start + i, start + j) for i, j in near]
+        at = nodes[np.array(out, np.int64).reshape(-1, 2)]
+        return pa.RecordBatch.from_arrays([pa.array(at.min(axis=1)), pa.array(at.max(axis=1))], ["a", "b"])
+
+    return _by_bucket(named, ["bucket", "node", "low", "high", "component"], "a long, b long", cross).distinct().join(pairs, ["a", "b"], "left_anti")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -226,14 +287,30 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return wanted.join(once, "of_hash").select("node", "shingles")
 
 
-def links(docs: DataFrame, classes: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose sets are as alike as asked, checked exactly."""
-    pairs = checkpointed(candidates(classes, radius_of(similarity)))
+def checked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Of pairs (a, b) of nodes those whose sets are as alike as asked."""
     nodes = pairs.selectExpr("explode(array(a, b)) AS node").distinct()
     sets = checkpointed(_sets(docs, classes.select("node", "of_hash").join(nodes, "node", "left_semi"), width))
     both = pairs.join(sets.selectExpr("node AS a", "shingles AS of_a"), "a").join(sets.selectExpr("node AS b", "shingles AS of_b"), "b")
     common = both.selectExpr("a", "b", "size(of_a) + size(of_b) AS n", "size(array_intersect(of_a, of_b)) AS common")
-    return common.where(F.col("common") / (F.col("n") - F.col("common")) >= similarity).select("a", "b")
+    return checkpointed(common.where(F.col("common") / (F.col("n") - F.col("common")) >= similarity).select("a", "b"))
+
+
+def linked(docs: DataFrame, classes: DataFrame, width: int, similarity: float) -> DataFrame:
+    """node, component of the nodes that links of sets as alike as asked join, checked exactly.
+
+    Large buckets give forests first; then all their pairs are checked that lie in different components.
+    """
+    radius = radius_of(similarity)
+    pairs, large = candidates(classes, radius)
+    links = checked(docs, classes, pairs, width, similarity)
+    found = simhash.components(links)
+    if large.limit(1).count():
+        found = checkpointed(found)
+        more = checkpointed(rest(large, found, pairs, radius))
+        if more.limit(1).count():
+            found = simhash.components(links.unionByName(checked(docs, classes, more, width, similarity)))
+    return found
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
@@ -241,7 +318,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     view = doc_view(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     rows = checkpointed(_keyed(view, _shingle_counts(view, width), width, similarity))
     classes = checkpointed(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("text_hash").alias("of_hash"), *(F.first(c).alias(c) for c in ("low", "high", "lead"))))
-    found = simhash.components(links(view, classes, width, similarity))
+    found = linked(view, classes, width, similarity)
     named = classes.select("node", "rep").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     whole = named.join(smallest, "component").select("node", "component_id")
@@ -253,8 +330,7 @@ def without_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Sets of shingles link at a Jaccard similarity of ``similarity`` or more. Texts without a word, null and empty ones
     among them, are one group; texts of fewer words than ``width`` link only to those of the same words. Of several rows
-    with the smallest doc_id the one with the least text hash stays. An empty table gives an empty one. Two things
-    may lose a link: a pair whose fingerprints differ by more than four standard deviations beyond the expected bits, and
-    in buckets of over 32 sets a pair that no checked link of the forests joins.
+    with the smallest doc_id the one with the least text hash stays. An empty table gives an empty one. A link may be lost
+    between two sets whose fingerprints differ by more than four standard deviations beyond the expected bits.
     """
     return simhash.one_of_each(docs, grouped(docs, id_col, text_col, width, similarity), id_col, text_col)

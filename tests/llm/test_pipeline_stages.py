@@ -93,6 +93,49 @@ def test_forests_join_what_links_join():
         assert all(names[i] == names[j] for i, j in near)
 
 
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    """Where links of forests fail the exact check, the pairs that they left out are checked."""
+    monkeypatch.setattr(similar, "FORESTS", 1)
+    random.seed(12)
+
+    def words(n):
+        return [f"w{random.randrange(10**6)}" for _ in range(n)]
+
+    base, tail = words(160), words(46)
+    texts = [base + tail] * 40 + [base] * 16  # these alike and those, but not both: the tail, commoner than the rest, is in no lead
+    texts = [[*t[:at], *words(1), *t[at + 1 :]] for t, at in zip(texts, random.sample(range(5, 155), len(texts)), strict=True)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts + [words(100) + tail for _ in range(80)])]
+    want = _smallest_of_groups(rows)
+    assert [d for d, _ in _texts(similar.without_similar(spark.createDataFrame(rows, "doc_id long, text string")))] == want
+
+
+def test_pairs_of_different_groups():
+    random.seed(6)
+    bases = [random.getrandbits(128) for _ in range(3)]
+    fps = [random.choice(bases) ^ sum(1 << b for b in random.sample(range(128), random.randrange(15))) for _ in range(70)]
+    groups = [random.randrange(4) for _ in fps]
+    want = [(i, j) for i in range(70) for j in range(i + 1, 70) if groups[i] != groups[j] and (fps[i] ^ fps[j]).bit_count() <= 24]
+    assert sorted(similar.parted_pairs(fps, groups, 24)) == want and similar.parted_pairs(fps, [1] * 70, 24) == []
+
+
+def test_forests_alone_lose_links():
+    """Where many near pairs fail the exact check, the pairs left apart by those of the forests complete the groups."""
+    random.seed(9)
+    base = random.getrandbits(128)
+    fps = [base ^ sum(1 << b for b in random.sample(range(128), random.randrange(4, 12))) for _ in range(60)]
+    alike = {(i, j) for j in range(60) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= 24 and random.random() < 0.05}
+
+    def groups(pairs):
+        names = list(range(60))
+        for i, j in pairs:
+            names = [names[i] if n == names[j] else n for n in names]
+        return [names.index(n) for n in names]
+
+    first = {tuple(sorted(p)) for p in similar.bucket_pairs(fps, 24)} & alike
+    rest = set(similar.parted_pairs(fps, groups(first), 24)) & alike
+    assert groups(first) != groups(alike) == groups(first | rest)
+
+
 def test_distances_of_planes():
     random.seed(3)
     fps = [random.getrandbits(128) & random.getrandbits(128) for _ in range(70)] + [0, (1 << 128) - 1]
