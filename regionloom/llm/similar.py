@@ -5,8 +5,10 @@ n - ceil(similarity * n) + 1 shingles, in any order fixed for all, with the othe
 buckets, taken in order of rising counts so that passages which many documents share come last.
 Counts are kept by slots of the hash, a fixed number, over all documents. Within a bucket 128-bit
 fingerprints stand as vertical bit planes, and carry-save counters abandon what is beyond the
-radius. Pairs that are left are checked exactly; of a larger bucket a few spanning forests first, then
-every pair that the links found so far don't join.
+radius. A bucket passes on a spanning forest of its near pairs, not the pairs. Each component of
+these forests then meets with its whole sets, once each, in one task, where all its pairs are
+checked exactly and a spanning forest of the links is passed on. Components too large for one
+task are dealt to several (``linked``).
 """
 
 from __future__ import annotations
@@ -27,11 +29,14 @@ WIDTH, SIMILARITY = 5, 0.8
 BITS = 128
 #: Slots of the hash whose shingles are counted together, and slots of the filter of texts: both of fixed size.
 COUNT_BITS, FILTER_BITS = 17, 18
-#: Buckets up to this many sets have all their near pairs checked; larger ones spanning forests, at rising radii, and then what these leave apart.
+#: ``bucket_pairs`` gives all near pairs of up to so many sets, and of more as many spanning forests, at rising radii. Candidates need one forest.
 PAIR_ROWS = 32
 FORESTS = 8
 #: Sets compared in one task; the rows of larger buckets are dealt to cells, two parts in each.
 BUCKET_ROWS = 4096
+#: Sets, and shingles of theirs, in a part of a component; two parts are checked in one task. Sets of a large component that all its parts are first compared with.
+PART_ROWS, PART_SHINGLES = 1024, 1 << 19
+PIVOTS = 16
 
 
 def shingle_set(text: bytes, width: int = WIDTH) -> np.ndarray:
@@ -139,24 +144,25 @@ def _shingle_counts(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame, counts: np.ndarray, width: int, similarity: float) -> DataFrame:
-    """doc_id, text_hash, node (the hash of the whole set), its fingerprint and its leading shingles, of every row."""
+    """doc_id, text_hash, node (the hash of the whole set), its size, fingerprint and leading shingles, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
-            nodes, lows, highs, leads = [], [], [], []
+            nodes, sizes, lows, highs, leads = [], [], [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 found = shingle_set(text, width)
                 n = len(found)
                 order = np.lexsort((found, counts[(found >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]))
                 low, high = wide_fingerprint(found)
                 nodes.append(xxhash.xxh64_intdigest(found.tobytes()))
+                sizes.append(n)
                 lows.append(low)
                 highs.append(high)
                 leads.append(found[order[: n - math.ceil(similarity * n - 1e-9) + 1]].tobytes() if n else b"")
-            longs = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (nodes, lows, highs)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *longs, pa.array(leads, pa.binary())], ["doc_id", "text_hash", "node", "low", "high", "lead"])
+            longs = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (nodes, sizes, lows, highs)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *longs, pa.array(leads, pa.binary())], ["doc_id", "text_hash", "node", "size", "low", "high", "lead"])
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, node long, low long, high long, lead binary")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, node long, size long, low long, high long, lead binary")
 
 
 def _dealt(classes: DataFrame) -> DataFrame:
@@ -203,8 +209,25 @@ def _fingerprints(low: np.ndarray, high: np.ndarray) -> list[int]:
     return [x | y << 64 for x, y in zip(low.tolist(), high.tolist(), strict=True)]
 
 
-def candidates(classes: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of nodes to check, once each, and the rows (bucket, node, low, high) of buckets that gave forests only."""
+def spanning(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those of the pairs that join what the ones before them don't."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := above.get(x, x)) != x:
+            above[x] = x = above.get(up, up)
+        return x
+
+    out = []
+    for a, b in pairs:
+        if (x := top(a)) != (y := top(b)):
+            above[x] = y
+            out.append((a, b))
+    return out
+
+
+def candidates(classes: DataFrame, radius: int) -> DataFrame:
+    """Pairs (a, b) of nodes that join whatever pairs within the radius join in any bucket: spanning forests."""
     dealt = _dealt(classes)
     heavy = checkpointed(dealt.groupBy("bucket").count().where(f"count > {BUCKET_ROWS}").selectExpr("bucket", f"CAST(ceil(count / {BUCKET_ROWS}) AS INT) AS parts"))
     if heavy.limit(1).count():
@@ -213,27 +236,18 @@ def candidates(classes: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
         cells = hot.selectExpr("xxhash64(bucket, least(own, other), greatest(own, other)) AS bucket", "node", "low", "high")
         dealt = dealt.join(heavy, "bucket", "left_anti").unionByName(cells)
 
-    forests = FORESTS
-
     def found(keys: np.ndarray, nodes: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
-        pairs, large = [], np.zeros(len(keys), bool)
+        pairs, names = [], nodes.tolist()
         for start, end in _spans(keys):
-            near = bucket_pairs(_fingerprints(low[start:end], high[start:end]), radius, forests)
-            pairs += [(start + i, start + j) for i, j in near]
-            # a forest of all pairs leaves none
-            large[start:end] = end - start > PAIR_ROWS and len(near) < (end - start) * (end - start - 1) // 2
-        at = nodes[np.array(pairs, np.int64).reshape(-1, 2)]
-        none = np.zeros(len(at), np.int64)
-        columns = [(at.min(axis=1), keys), (at.max(axis=1), nodes), (none, low.view(np.int64)), (none, high.view(np.int64))]
-        arrays = [pa.array(np.concatenate([pair, row[large]])) for pair, row in columns]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(np.arange(len(arrays[0])) >= len(at))], ["a", "b", "low", "high", "large"])
+            pairs += [(names[start + i], names[start + j]) for i, j in bucket_pairs(_fingerprints(low[start:end], high[start:end]), radius, 1)]
+        at = np.array(spanning(pairs), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(at.min(axis=1)), pa.array(at.max(axis=1))], ["a", "b"])
 
-    both = checkpointed(_by_bucket(dealt, ["bucket", "node", "low", "high"], "a long, b long, low long, high long, large boolean", found).distinct())
-    return both.where("NOT large").select("a", "b"), both.where("large").selectExpr("a AS bucket", "b AS node", "low", "high")
+    return _by_bucket(dealt, ["bucket", "node", "low", "high"], "a long, b long", found)
 
 
 def parted_pairs(fps: list[int], groups: list[int], radius: int) -> list[tuple[int, int]]:
-    """All pairs of places within the radius whose groups differ."""
+    """All pairs of places within the radius whose groups differ. Only tests call it since whole components are checked."""
     if len(set(groups)) < 2:
         return []
     planes = [0] * BITS
@@ -253,24 +267,8 @@ def parted_pairs(fps: list[int], groups: list[int], radius: int) -> list[tuple[i
     return out
 
 
-def rest(large: DataFrame, found: DataFrame, pairs: DataFrame, radius: int) -> DataFrame:
-    """The pairs (a, b) of large buckets that no checked link joins (found: node, component) and that weren't checked yet, every one."""
-    named = large.join(found, "node", "left").selectExpr("bucket", "node", "low", "high", "coalesce(component, node) AS component")
-
-    def cross(keys: np.ndarray, nodes: np.ndarray, low: np.ndarray, high: np.ndarray, component: np.ndarray) -> pa.RecordBatch:
-        out = []
-        for start, end in _spans(keys):
-            if (component[start:end] != component[start]).any():
-                near = parted_pairs(_fingerprints(low[start:end], high[start:end]), component[start:end].tolist(), radius)
-                out += [(start + i, start + j) for i, j in near]
-        at = nodes[np.array(out, np.int64).reshape(-1, 2)]
-        return pa.RecordBatch.from_arrays([pa.array(at.min(axis=1)), pa.array(at.max(axis=1))], ["a", "b"])
-
-    return _by_bucket(named, ["bucket", "node", "low", "high", "component"], "a long, b long", cross).distinct().join(pairs, ["a", "b"], "left_anti")
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and its shingles, for the nodes in ``wanted`` (node, of_hash); a filter of fixed size spares most other texts."""
+    """The rows of ``wanted`` (node, of_hash and more) with their shingles; a filter of fixed size spares most other texts."""
     mask = (1 << FILTER_BITS) - 1
     slots = np.zeros(1 << FILTER_BITS, bool)
     slots[wanted.selectExpr(f"of_hash & {mask} AS slot").distinct().toArrow()["slot"].to_numpy()] = True
@@ -284,32 +282,136 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["of_hash", "shingles"])
 
     once = docs.mapInArrow(run, "of_hash long, shingles array<long>").groupBy("of_hash").agg(F.first("shingles").alias("shingles"))
-    return wanted.join(once, "of_hash").select("node", "shingles")
+    return wanted.join(once, "of_hash").drop("of_hash")
+
+
+def alike_links(values: np.ndarray, ends: np.ndarray, groups: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of places of sets as alike as asked that, with the groups given, join whatever such pairs join.
 
+    Set k is ``values[ends[k]:ends[k + 1]]``, each value once. Sets are compared where they share a leading value, in order
+    of rising counts among these sets. A place is done when it was compared with all that are neither done nor of its group;
+    the places of the largest group that is left needn't be.
+    """
+    n, sizes, places = len(ends) - 1, np.diff(ends), np.arange(len(ends) - 1)
+    owner = np.repeat(places, sizes)
+    _, codes, counts = np.unique(values, return_inverse=True, return_counts=True)
+    codes = codes[np.lexsort((codes, counts[codes], owner))]
+    leads = (sizes - np.ceil(similarity * sizes - 1e-9) + 1).astype(np.int64)
+    lead = (np.arange(len(codes)) - ends[owner] < leads[owner]) & (counts[codes] > 1)
+    by = np.argsort(codes[lead], kind="stable")
+    holders, starts = owner[lead][by], np.append(0, np.cumsum(np.bincount(codes[lead], minlength=len(counts))))
+    names = np.unique(groups, return_inverse=True)[1]
+    done, marked, out = np.zeros(n, bool), np.zeros(len(counts), bool), []
+    while True:
+        left = np.bincount(names[~done], minlength=n)
+        others = np.flatnonzero(~done & (names != left.argmax()))
+        if not len(others):
+            return out
+        x = others[0]
+        done[x] = True
+        own = codes[ends[x] : ends[x + 1]]
+        first = own[lead[ends[x] : ends[x + 1]]]
+        hit = np.zeros(n, bool)
+        hit[holders[_ranges(starts[first], starts[first + 1])]] = True
+        near = np.flatnonzero(hit & ~done & (names != names[x]) & (np.minimum(sizes, sizes[x]) >= similarity * np.maximum(sizes, sizes[x]) - 1e-6))
+        if len(near):
+            marked[own] = True
+            common = np.add.reduceat(marked[codes[_ranges(ends[near], ends[near + 1])]], np.append(0, np.cumsum(sizes[near])[:-1]), dtype=np.int64)
+            marked[own] = False
+            near = near[common / (sizes[near] + sizes[x] - common) >= similarity]
+            joined, at = np.unique(names[near], return_index=True)
+            out += [(int(x), int(y)) for y in near[at]]
+            names[np.isin(names, joined)] = names[x]
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All whole numbers from each start to below its end."""
+    lengths = ends - starts
+    return np.repeat(starts - np.append(0, np.cumsum(lengths)[:-1]), lengths) + np.arange(lengths.sum()) if len(starts) else np.zeros(0, np.int64)
+
+
+def _links(cells: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that with the groups join all alike nodes of each cell, from cell, node, group and shingles."""
+
+    def found(table: pa.Table) -> pa.RecordBatch:
+        keys, nodes, groups = (table.column(k).to_numpy() for k in range(3))
+        shingles = table.column(3).combine_chunks()
+        values, ends = shingles.flatten().to_numpy(), np.append(0, np.cumsum(shingles.value_lengths().to_numpy())).astype(np.int64)
+        pairs = []
+        for start, end in _spans(keys):
+            of = ends[start : end + 1]
+            pairs += [(start + i, start + j) for i, j in alike_links(values[of[0] : of[-1]], of - of[0], groups[start:end], similarity)]
+        at = nodes[np.array(pairs, np.int64).reshape(-1, 2)]
+        return pa.RecordBatch.from_arrays([pa.array(at.min(axis=1)), pa.array(at.max(axis=1))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(0).to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))  # the last cell may go on in the next batch
+            if held and (cut or keys[0] != last):
+                yield found(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            elif cut:
+                yield found(pa.Table.from_batches([batch.slice(0, cut)]))
+            held.append(batch.slice(cut))
+            last = keys[-1]
+        if held:
+            yield found(pa.Table.from_batches(held))
 
-def checked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Of pairs (a, b) of nodes those whose sets are as alike as asked."""
-    nodes = pairs.selectExpr("explode(array(a, b)) AS node").distinct()
-    sets = checkpointed(_sets(docs, classes.select("node", "of_hash").join(nodes, "node", "left_semi"), width))
-    both = pairs.join(sets.selectExpr("node AS a", "shingles AS of_a"), "a").join(sets.selectExpr("node AS b", "shingles AS of_b"), "b")
-    common = both.selectExpr("a", "b", "size(of_a) + size(of_b) AS n", "size(array_intersect(of_a, of_b)) AS common")
-    return checkpointed(common.where(F.col("common") / (F.col("n") - F.col("common")) >= similarity).select("a", "b"))
+    return cells.select("cell", "node", "group", "shingles").repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a long, b long")
+
+
+def _parts(rows: str, shingles: str) -> str:
+    return f"CAST(greatest(ceil(({rows}) / {PART_ROWS}), least({rows}, ceil(({shingles}) / {PART_SHINGLES}))) AS INT)"
+
+
+def _first_cells(sets: DataFrame) -> DataFrame:
+    """Components of up to two parts as one cell; larger ones by parts, the pivots in each of them."""
+    small = sets.where("parts <= 2").selectExpr("component AS cell", "node", "node AS group", "shingles")
+    large = sets.where("parts > 2")
+    nth = large.selectExpr("component", "node", "row_number() OVER (PARTITION BY component ORDER BY xxhash64(node), node) AS nth")
+    pivots = nth.where(f"nth <= {PIVOTS}").select("node")
+    own = "CAST(pmod(xxhash64(node, 1), parts) AS INT)"
+    plain = large.join(pivots, "node", "left_anti").selectExpr("component", f"{own} AS part", "node", "shingles")
+    all_parts = large.join(pivots, "node", "left_semi").selectExpr("component", "explode(sequence(0, parts - 1)) AS part", "node", "shingles")
+    return small.unionByName(plain.unionByName(all_parts).selectExpr("xxhash64(component, part) AS cell", "node", "node AS group", "shingles"))
+
+
+def _further_cells(large: DataFrame, found: DataFrame) -> DataFrame | None:
+    """Cells in which every two nodes of a component meet unless found (node, component) joins them already; none if it joins all.
+
+    The largest group of a component is dealt apart from the rest: its own pairs needn't meet.
+    """
+    named = large.join(found.withColumnRenamed("component", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    groups = named.groupBy("component", "group").agg(F.count("*").alias("n"), F.sum("size").alias("of"))
+    whole = groups.groupBy("component").agg(F.max(F.struct("n", "group", "of")).alias("m"), F.sum("n").alias("n"), F.sum("of").alias("of"))
+    plan = checkpointed(whole.where("n > m.n").selectExpr("component", "m.group AS main", f"{_parts('n - m.n', 'of - m.of')} AS others", f"{_parts('m.n', 'm.of')} AS mains"))
+    if not plan.limit(1).count():
+        return None
+    dealt = named.join(plan, "component").selectExpr("*", "CAST(pmod(xxhash64(node, 2), IF(group = main, mains, others)) AS INT) AS own")
+    with_main = "transform(sequence(0, IF(group = main, others, mains) - 1), k -> xxhash64(component, 1, IF(group = main, k, own), IF(group = main, own, k)))"
+    among = "transform(filter(sequence(0, others - 1), k -> k <> own), k -> xxhash64(component, 2, least(k, own), greatest(k, own)))"
+    return dealt.selectExpr(f"explode(concat({with_main}, IF(group = main, array(), {among}))) AS cell", "node", "group", "shingles")
 
 
 def linked(docs: DataFrame, classes: DataFrame, width: int, similarity: float) -> DataFrame:
     """node, component of the nodes that links of sets as alike as asked join, checked exactly.
 
-    Large buckets give forests first; then all their pairs are checked that lie in different components.
+    Components of the candidates are checked whole. Of large ones each part is checked, together with a few nodes that all
+    parts get, which joins most of what is alike; what isn't joined by then meets in cells, every two parts in one.
     """
-    radius = radius_of(similarity)
-    pairs, large = candidates(classes, radius)
-    links = checked(docs, classes, pairs, width, similarity)
+    near = checkpointed(simhash.components(candidates(classes, radius_of(similarity))))
+    members = near.join(classes.select("node", "of_hash", "size"), "node")
+    parts = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("of")).selectExpr("component", f"{_parts('n', 'of')} AS parts")
+    sets = checkpointed(_sets(docs, checkpointed(members.join(parts, "component")), width))
+    links = checkpointed(_links(_first_cells(sets), similarity))
     found = simhash.components(links)
-    if large.limit(1).count():
-        found = checkpointed(found)
-        more = checkpointed(rest(large, found, pairs, radius))
-        if more.limit(1).count():
-            found = simhash.components(links.unionByName(checked(docs, classes, more, width, similarity)))
+    large = sets.where("parts > 2")
+    if large.limit(1).count() and (cells := _further_cells(large, found := checkpointed(found))) is not None:
+        found = simhash.components(links.unionByName(_links(cells, similarity)))
     return found
 
 
@@ -317,7 +419,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     """doc_id, text_hash, fp (the hash of the set) and component_id (smallest doc_id linked to it) of every row."""
     view = doc_view(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     rows = checkpointed(_keyed(view, _shingle_counts(view, width), width, similarity))
-    classes = checkpointed(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("text_hash").alias("of_hash"), *(F.first(c).alias(c) for c in ("low", "high", "lead"))))
+    classes = checkpointed(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("text_hash").alias("of_hash"), *(F.first(c).alias(c) for c in ("size", "low", "high", "lead"))))
     found = linked(view, classes, width, similarity)
     named = classes.select("node", "rep").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +110,44 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
     assert [d for d, _ in _texts(similar.without_similar(spark.createDataFrame(rows, "doc_id long, text string")))] == want
 
 
+def test_large_groups_pass_on_few_links(spark, monkeypatch):
+    """Near pairs and links of a group grow with its sets, not their square, in one task or dealt to several."""
+    random.seed(21)
+    base = [f"w{random.randrange(10**6)}" for _ in range(200)]
+    texts = [[f"x{random.randrange(10**9)}" if i in set(random.sample(range(200), n)) else w for i, w in enumerate(base)] for n in [3] * 120 + [8] * 60]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    table, want, made, found = spark.createDataFrame(rows, "doc_id long, text string"), _smallest_of_groups(rows), [], similar.simhash.components
+
+    def components(links, *more):
+        made.append(links.count())
+        return found(links, *more)
+
+    monkeypatch.setattr(similar.simhash, "components", components)
+    assert [d for d, _ in _texts(similar.without_similar(table))] == want and len(want) > 20
+    assert max(made) < 4 * len(rows)
+    monkeypatch.setattr(similar, "PART_ROWS", 20)
+    monkeypatch.setattr(similar, "PIVOTS", 2)
+    assert [d for d, _ in _texts(similar.without_similar(table))] == want and len(made) > 4
+
+
+def test_links_within_a_cell():
+    random.seed(14)
+    for known in (False, True):
+        bases = [random.sample(range(10**6), 60) for _ in range(4)]
+        sets = [sorted({x if random.random() < 0.93 else random.randrange(10**6) for x in random.choice(bases)}) for _ in range(50)] + [[7], [7, 8]]
+        groups = np.array([k // 2 if known else k for k in range(len(sets))])
+        links = similar.alike_links(np.concatenate([np.array(x) for x in sets]), np.append(0, np.cumsum([*map(len, sets)])), groups, 0.8)
+        alike = [(i, j) for j in range(len(sets)) for i in range(j) if _alike(frozenset(sets[i]), frozenset(sets[j]))]
+        assert {tuple(sorted(p)) for p in links} <= set(alike) and len(links) < len(sets)
+
+        def joined(pairs, names):
+            for i, j in pairs:
+                names = [names[i] if n == names[j] else n for n in names]
+            return [names.index(n) for n in names]
+
+        assert joined(links, groups.tolist()) == joined(alike, groups.tolist())
+
+
 def test_pairs_of_different_groups():
     random.seed(6)
     bases = [random.getrandbits(128) for _ in range(3)]
