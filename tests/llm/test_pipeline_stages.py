@@ -130,6 +130,19 @@ def test_large_groups_pass_on_few_links(spark, monkeypatch):
     assert [d for d, _ in _texts(similar.without_similar(table))] == want and len(made) > 4
 
 
+def test_near_pairs_of_a_bucket_are_a_forest(spark):
+    """30 sets that are all near each other give 29 pairs, not 435."""
+    random.seed(2)
+    base = random.getrandbits(60)
+    rows = [(k, base ^ sum(1 << b for b in random.sample(range(60), 10)), 0, (7).to_bytes(8, "little")) for k in range(30)]
+    found = similar.candidates(spark.createDataFrame(rows, "node long, low long, high long, lead binary"), 24)
+    pairs = [(r.a, r.b) for r in found.collect()]
+    names = list(range(30))
+    for a, b in pairs:
+        names = [names[a] if n == names[b] else n for n in names]
+    assert len(pairs) == 29 and len(set(names)) == 1
+
+
 def test_links_within_a_cell():
     random.seed(14)
     for known in (False, True):
